@@ -1,0 +1,4 @@
+"""The engine is batch only: every table is refreshed by running its load again.
+
+There is no stream, watermark or state to re-express, so nothing is built here.
+"""
