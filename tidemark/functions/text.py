@@ -40,9 +40,10 @@ def text_length(c: Column | str) -> Column:
     return F.length(as_column(c))
 
 
-# Cells of one character matrix handled at a time; bounds the memory of a batch
-# that holds very long texts.
-_MATRIX_CELLS = 4_000_000
+# Cells of one character matrix handled at a time: small enough for the processor
+# cache, and a bound on the memory of a batch that holds very long texts.
+_MATRIX_CELLS = 200_000
+_BAG_SLOTS = 64
 
 
 def _codes(texts: list[str], width: int) -> np.ndarray:
@@ -53,75 +54,109 @@ def _codes(texts: list[str], width: int) -> np.ndarray:
     return out
 
 
-def _similarity_block(left: list[str], right: list[str]) -> np.ndarray:
-    """Jaro-Winkler similarity in 0..1 of aligned pairs, all pairs at once."""
-    la = np.array([len(t) for t in left])
-    lb = np.array([len(t) for t in right])
-    wa, wb = max(int(la.max()), 1), max(int(lb.max()), 1)
-    a, b = _codes(left, wa), _codes(right, wb)
+def _common_prefix(a: np.ndarray, b: np.ndarray, la: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    k = min(4, a.shape[1], b.shape[1])
+    agree = (a[:, :k] == b[:, :k]) & (np.arange(k)[None, :] < np.minimum(la, lb)[:, None])
+    return np.cumprod(agree, axis=1).sum(axis=1)
+
+
+def _similarity_block(a: np.ndarray, b: np.ndarray, la: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    """Jaro-Winkler similarity in 0..1 of aligned rows of character codes, all rows at once."""
+    n, wa, wb = len(la), a.shape[1], b.shape[1]
     reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
-    cols = np.arange(wb)
-    rows = np.arange(len(left))
+    cols, rows = np.arange(wb), np.arange(n)
     open_b = cols[None, :] < lb[:, None]
-    hit_a = np.zeros((len(left), wa), dtype=bool)
-    hit_b = np.zeros((len(left), wb), dtype=bool)
+    hit_a = np.zeros((n, wa), dtype=bool)
+    hit_b = np.zeros((n, wb), dtype=bool)
+    furthest = int(reach.max()) if n else 0
     for i in range(wa):
-        near = open_b & (np.abs(cols[None, :] - i) <= reach[:, None]) & (b == a[:, i : i + 1])
+        lo, hi = max(0, i - furthest), min(wb, i + furthest + 1)
+        if lo >= hi:
+            continue
+        near = open_b[:, lo:hi] & (b[:, lo:hi] == a[:, i : i + 1])
+        near &= np.abs(cols[None, lo:hi] - i) <= reach[:, None]
         near &= (i < la)[:, None]
-        found = near.any(axis=1)
-        where = near.argmax(axis=1)
+        found = np.flatnonzero(near.any(axis=1))
+        where = near[found].argmax(axis=1) + lo
         hit_a[found, i] = True
-        hit_b[rows[found], where[found]] = True
-        open_b[rows[found], where[found]] = False
+        hit_b[rows[found], where] = True
+        open_b[rows[found], where] = False
     m = hit_a.sum(axis=1)
     span = max(min(wa, wb), 1)
-    order_a = np.argsort(~hit_a, axis=1, kind="stable")
-    order_b = np.argsort(~hit_b, axis=1, kind="stable")
-    seq_a = np.take_along_axis(a, order_a, axis=1)[:, :span]
-    seq_b = np.take_along_axis(b, order_b, axis=1)[:, :span]
+    seq_a = np.take_along_axis(a, np.argsort(~hit_a, axis=1, kind="stable"), axis=1)[:, :span]
+    seq_b = np.take_along_axis(b, np.argsort(~hit_b, axis=1, kind="stable"), axis=1)[:, :span]
     live = np.arange(span)[None, :] < m[:, None]
     swaps = ((seq_a != seq_b) & live).sum(axis=1) // 2
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = np.where(m > 0, (m / la + m / lb + (m - swaps) / m) / 3.0, 0.0)
     jaro = np.where((la == 0) & (lb == 0), 1.0, jaro)
-    k = min(4, wa, wb)
-    agree = (a[:, :k] == b[:, :k]) & (np.arange(k)[None, :] < np.minimum(la, lb)[:, None])
-    prefix = np.cumprod(agree, axis=1).sum(axis=1)
-    return np.where(jaro > 0.7, jaro + 0.1 * prefix * (1.0 - jaro), jaro)
+    return np.where(jaro > 0.7, jaro + 0.1 * _common_prefix(a, b, la, lb) * (1.0 - jaro), jaro)
+
+
+def _bags(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Character counts per text; characters that share a slot can only raise an overlap."""
+    out = np.zeros((len(codes), _BAG_SLOTS), dtype=np.int32)
+    for j in range(codes.shape[1]):
+        inside = np.flatnonzero(lengths > j)
+        out[inside, codes[inside, j] % _BAG_SLOTS] += 1
+    return out
 
 
-def similarity_scores(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Aligned similarities; NULL in, NULL out.  Pairs are grouped by length so
-    that one long text does not widen the matrix of all the others."""
+def similarity_scores(left: pd.Series, right: pd.Series, at_least: float = 0.0) -> pd.Series:
+    """Aligned similarities; NULL in, NULL out.
+
+    Each distinct text of a batch is encoded once.  A pair whose characters in
+    common cannot lift it to ``at_least`` gets 0 without being aligned.  Pairs
+    go by length, so that one long text does not widen the matrix of the others.
+    """
     known = (left.notna() & right.notna()).to_numpy()
     out = np.full(len(left), np.nan)
     where = np.flatnonzero(known)
-    if len(where):
-        lt, rt = left.to_numpy()[where], right.to_numpy()[where]
-        width = np.array([max(len(x), len(y), 1) for x, y in zip(lt, rt)])
-        order = np.argsort(width, kind="stable")
-        start = 0
-        while start < len(order):
-            stop = start + 1
-            while stop < len(order) and (stop + 1 - start) * width[order[stop]] <= _MATRIX_CELLS:
-                stop += 1
-            part = order[start:stop]
-            out[where[part]] = _similarity_block([lt[i] for i in part], [rt[i] for i in part])
-            start = stop
+    if not len(where):
+        return pd.Series(out)
+    ids, texts = pd.factorize(pd.concat([left, right], ignore_index=True))
+    li, ri = ids[: len(left)][where], ids[len(left) :][where]
+    lengths = np.array([len(t) for t in texts])
+    width = np.maximum(np.maximum(lengths[li], lengths[ri]), 1)
+    order = np.argsort(width, kind="stable")
+    score = np.zeros(len(where))
+    start = 0
+    while start < len(order):
+        rough = int(np.searchsorted(width[order[start:]], 2 * width[order[start]], side="right"))
+        wide = width[order[start + rough - 1]]
+        part = order[start : start + max(1, min(rough, _MATRIX_CELLS // int(wide)))]
+        start += len(part)
+        here, local = np.unique(np.concatenate([li[part], ri[part]]), return_inverse=True)
+        codes = _codes([texts[i] for i in here], int(wide))
+        size = lengths[here]
+        a, b = local[: len(part)], local[len(part) :]
+        if at_least > 0:
+            bags = _bags(codes, size)
+            common = np.minimum(bags[a], bags[b]).sum(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                best = np.where(common > 0, (common / size[a] + common / size[b] + 1) / 3, 0.0)
+            best = np.where((size[a] == 0) & (size[b] == 0), 1.0, best)
+            best = best + 0.1 * _common_prefix(codes[a], codes[b], size[a], size[b]) * (1 - best)
+            keep = best >= at_least - 1e-9
+            part, a, b = part[keep], a[keep], b[keep]
+        if len(part):
+            score[part] = _similarity_block(codes[a], codes[b], size[a], size[b])
+    out[where] = score
     return pd.Series(out)
 
 
-@F.pandas_udf(T.DoubleType())
-def _jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
-    return similarity_scores(left, right)
-
-
-def jaro_winkler(a: Column | str, b: Column | str, ignore_case: bool = True) -> Column:
+def jaro_winkler(a: Column | str, b: Column | str, ignore_case: bool = True, at_least: int = 0) -> Column:
     """Jaro-Winkler similarity as a whole number 0..100, rounded down.
 
     Spark has no such function, so it runs as an Arrow UDF over whole batches.
+    With ``at_least``, pairs that cannot reach that score may give 0.
     """
     a, b = as_column(a), as_column(b)
     if ignore_case:
         a, b = F.lower(a), F.lower(b)
-    return F.floor(_jaro_winkler(a, b) * 100 + F.lit(1e-9)).cast("int")
+
+    @F.pandas_udf(T.DoubleType())
+    def score(left: pd.Series, right: pd.Series) -> pd.Series:
+        return similarity_scores(left, right, at_least / 100)
+
+    return F.floor(score(a, b) * 100 + F.lit(1e-9)).cast("int")

@@ -13,13 +13,16 @@ is lost, and only pairs that agree on a key are ever scored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import jaro_winkler
+from tidemark.functions.text import similarity_scores
 from tidemark.functions.weeks import as_column
 
 # Rare characters per key for a common prefix of 0, 1, 2, 3 and 4 characters: the
@@ -86,7 +89,7 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, min_score: int = 93, ignore_c
 
     def keyed(df: DataFrame, folded: str) -> DataFrame:
         key = F.explode(match_keys(folded, float(min_score), rarity)).alias("key")
-        return df.select("*", key).withColumns({"p": F.substring("key", 1, 1).cast("int"), "k": F.xxhash64("key")}).drop("key")
+        return spread(df, folded).select("*", key).withColumns({"p": F.substring("key", 1, 1).cast("int"), "k": F.xxhash64("key")}).drop("key")
 
     # A key of prefix length p serves the pairs whose common prefix is exactly p.
     next_l, next_r = F.substr("lf", F.col("p") + 1, F.lit(1)), F.substr("rf", F.col("p") + 1, F.lit(1))
@@ -94,12 +97,31 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, min_score: int = 93, ignore_c
     jaro = (F.lit(min_score / 100) - 0.1 * F.col("p")) / (F.lit(1) - 0.1 * F.col("p"))
     a, b = F.length("lf"), F.length("rf")
     reachable = (3 * jaro - 1) * a * b / (a + b) <= F.least(a, b) + F.lit(1e-6)
-    candidates = (
-        keyed(l, "lf").join(keyed(r, "rf"), ["p", "k"]).where(own_class & reachable).select("l_name", "r_name").distinct()
-    )
-    return candidates.withColumn("score", jaro_winkler("l_name", "r_name", ignore_case)).where(
-        F.col("score") >= min_score
-    )
+    candidates = keyed(l, "lf").join(keyed(r, "rf"), ["p", "k"]).where(own_class & reachable)
+    # Small rows, much work each: the explicit spread keeps them from being packed into few tasks.
+    pairs = spread(candidates.select("l_name", "r_name"), "l_name", "r_name").distinct()
+    return pairs.mapInPandas(_scorer(min_score, ignore_case), "l_name string, r_name string, score int")
+
+
+def _scorer(min_score: int, ignore_case: bool):
+    """Batch function that scores pairs and passes on those at or above the score."""
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pairs in batches:
+            l, r = pairs["l_name"], pairs["r_name"]
+            if ignore_case:
+                l, r = l.str.lower(), r.str.lower()
+            points = np.floor(similarity_scores(l, r, min_score / 100) * 100 + 1e-9).to_numpy()
+            keep = points >= min_score
+            yield pairs[keep].assign(score=points[keep].astype("int32"))
+
+    return score
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash the rows over all shuffle partitions, without packing small ones together."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns)
 
 
 def _character_ranks(names: DataFrame, limit: int = 2000) -> dict[str, int]:
@@ -140,9 +162,10 @@ def fuzzy_match(
     rn = right.select(F.col(r_name).alias("r_name")).dropna().distinct()
     exact = ln.join(rn, fold(F.col("l_name")) == fold(F.col("r_name"))).withColumn("score", F.lit(100))
     open_names = ln.join(rn.select(fold(F.col("r_name")).alias("f")), fold(F.col("l_name")) == F.col("f"), "left_anti")
-    scored = fuzzy_pairs(open_names, rn, min_score, ignore_case)
-    best = scored.groupBy("l_name").agg(F.max("score").alias("score"))
-    near = scored.join(best, ["l_name", "score"]).select("l_name", "r_name", "score")
+    # Scoring is the dear step and this keeps it single.  Each task drops its own
+    # lower ranks before the shuffle, so a name arrives with its best partners only.
+    by_name = W.partitionBy("l_name").orderBy(F.desc("score"))
+    near = fuzzy_pairs(open_names, rn, min_score, ignore_case).withColumn("r", F.rank().over(by_name)).where("r = 1").drop("r")
     pairs = exact.unionByName(near).withColumn("match_rank", F.lit(1))
     return (
         left.join(pairs.withColumnRenamed("l_name", l_name), l_name)

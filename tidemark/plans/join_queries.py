@@ -263,13 +263,13 @@ JOINED = """j AS (SELECT c.*, coverage_start, renewal_earliest, renewal_latest,
           date_diff('day', final_earliest_date, churn_date)::BIGINT AS days_to_churn FROM e)"""
 MERGED = f"{MERGE_PARTS}, {BOUNDS}, {JOINED}"
 MERGED_ROWS = f"{MERGE_PARTS}, {ROWS}, {JOINED}"
-MERGED_OUT = """SELECT * REPLACE (round(functional_amount, 2) AS functional_amount, round(revline_total, 2) AS revline_total,
+MERGED_OUT = """SELECT * REPLACE (round(functional_amount, 2) AS functional_amount, round(revline_total, 4) AS revline_total,
     round(amount_due, 2) AS amount_due, round(lifespan_months, 2) AS lifespan_months, yyyywk::BIGINT AS yyyywk) FROM merged"""
 
 
 def merged_shown(df: DataFrame) -> DataFrame:
     return longs(df.withColumns({c: F.round(c, 2) for c in ("functional_amount", "amount_due", "lifespan_months")})).withColumn(
-        "revline_total", F.round("revline_total", 2)
+        "revline_total", F.round("revline_total", 4)
     )
 
 
