@@ -1,7 +1,9 @@
 """All registered queries; importing the modules fills the registry."""
 
 from tidemark.plans import (  # noqa: F401
+    activity_queries,
     churn_queries,
+    compare_queries,
     expression_queries,
     feature_queries,
     join_queries,
