@@ -7,7 +7,9 @@ from tidemark.plans import (  # noqa: F401
     expression_queries,
     feature_queries,
     join_queries,
+    quality_queries,
     source_queries,
+    trend_queries,
 )
 from tidemark.plans.registry import QUERIES, Query
 
