@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -14,7 +15,6 @@ from tidemark.operators.relational import (
     active_only,
     dedupe_most_complete,
     full_outer_by_date,
-    full_outer_coalesce,
     keep_known,
     numeric_columns,
 )
@@ -129,47 +129,97 @@ def financial_timeline(b: Bundle) -> DataFrame:
     )
 
 
+def _dated_parts(b: Bundle, usage: DataFrame) -> list[DataFrame]:
+    """Every source as rows of (account, day, its own columns), ready to be stacked.
+
+    ``_slot`` keeps usage of an unreadable week apart, row by row; ``_dated``
+    marks what does not come from usage.
+    """
+
+    def facts(df: DataFrame, key: str, date: str, metric: str) -> DataFrame:
+        known = df.distinct().dropna(subset=[key, date])
+        return known.select(F.col(key).alias("account_id"), F.col(date).alias("month"), date, metric, F.lit(True).alias("_dated"))
+
+    lines = b.contract_line.select("account_id", F.col("line_start").alias("month"), "line_start", F.lit(True).alias("_dated"))
+    weeks = usage.withColumn("usage_month", week_midpoint("yyyywk")).withColumns(
+        {"month": F.col("usage_month"), "_slot": F.when(F.col("usage_month").isNull(), F.col("yyyywk"))}
+    )
+    return [
+        facts(b.payment, "customer_no", "receipt_date", "functional_amount"),
+        facts(b.revenue, "account_id", "invoice_date", "revline_total"),
+        facts(b.txn, "account_number", "trx_date", "amount_due"),
+        lines,
+        weeks,
+    ]
+
+
+SUMMED = {"functional_amount": "receipt_date", "revline_total": "invoice_date", "amount_due": "trx_date"}
+
+
+def timeline(b: Bundle, since: str) -> DataFrame:
+    """All dated sources of the known accounts side by side, one row per account and day.
+
+    Each source has at most one row per account and day once its facts are
+    summed, so the chain of full outer joins on account and day is the same as
+    stacking the sources and grouping once: one shuffle, combined beforehand,
+    instead of one per join.
+    """
+    parts = _dated_parts(b, clean_usage(b.usage, since))
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    rest = [c for c in stacked.columns if c not in ("account_id", "month", "_slot", *SUMMED)]
+    sums = [
+        F.when(F.max(date).isNotNull(), F.coalesce(F.sum(metric), F.lit(0.0))).alias(metric) for metric, date in SUMMED.items()
+    ]
+    grouped = stacked.groupBy("account_id", "month", "_slot").agg(*sums, *[F.max(c).alias(c) for c in rest]).drop("_slot")
+    return grouped.join(b.account.select("account_id"), "account_id", "left_semi")
+
+
+def _lifetime(merged: DataFrame, as_of: str | None) -> DataFrame:
+    start = as_column("final_earliest_date")
+    if as_of is None:
+        timed = {"lifespan_months": months_between_30(start, "churn_date"), "days_to_churn": days_between(start, "churn_date")}
+    else:
+        day = F.lit(as_of).cast("date")
+        timed = {"months_elapsed": months_between_30(start, day), "days_elapsed": days_between(start, day)}
+    return merged.withColumns(timed).drop("contract_number", "contract_end")
+
+
+ROW_DATES = ("receipt_date", "invoice_date", "trx_date", "line_start", "coverage_start")
+
+
 def merge_sources(b: Bundle, since: str = "2020-01-01", renewals: str = "bounds", as_of: str | None = None) -> DataFrame:
     """All sources of a bundle aligned on account and date.
 
     ``renewals='rows'`` repeats every row for each renewal of its account.
     ``'bounds'`` carries one row of renewal bounds instead, which leaves all
     later results the same and cannot blow up on an account with many renewals.
+    Renewals and risk go to the rows that have a payment, invoice, transaction
+    or contract line; rows of usage alone lack them.
     With ``as_of`` the lifetime columns measure time up to that day (live
     accounts) instead of up to the churn date.
     """
-    accounts = b.account.select("account_id").distinct()
-    merged = financial_timeline(b)
-
-    lines = keep_known(b.contract_line.select("account_id", "line_start").distinct(), "account_id", accounts)
-    merged = full_outer_coalesce(merged, lines, "account_id", "month", "line_start")
-
-    covers = keep_known(b.renewal.distinct(), "bill_to", accounts)
+    accounts = b.account.select("account_id")
+    covers = b.renewal.distinct().withColumnRenamed("bill_to", "account_id")
+    dated = timeline(b, since)
     if renewals == "rows":
         cover = with_bounds(covers, "account_id", "coverage_start", "coverage_end", "renewal").drop("coverage_end")
     else:
         cover = bounds(covers, "account_id", "coverage_start", "coverage_end", "renewal").withColumn(
             "coverage_start", F.col("renewal_earliest")
         )
-    merged = merged.join(cover, "account_id", "left")
-    merged = merged.join(keep_known(b.risk.distinct(), "account_number", accounts), "account_id", "left")
-
-    usage = keep_known(clean_usage(b.usage, since), "account_id", accounts)
-    usage = usage.withColumn("usage_month", week_midpoint("yyyywk"))
-    merged = full_outer_coalesce(merged, usage, "account_id", "month", "usage_month")
-
-    row_earliest = earliest("receipt_date", "invoice_date", "trx_date", "line_start", "coverage_start")
-    merged = merged.withColumn("_earliest", row_earliest)
+    risk = keep_known(b.risk.distinct(), "account_number", accounts)
+    # The flag sits in the join condition, not in the key: usage-only rows keep their
+    # account's hash and find no partner.
+    merged = dated
+    for other in (cover, risk):
+        other = other.withColumnRenamed("account_id", "_k")
+        merged = merged.join(other, (F.col("account_id") == F.col("_k")) & F.col("_dated"), "left").drop("_k")
+    merged = merged.drop("_dated")
+    merged = merged.withColumn("_earliest", earliest(*ROW_DATES))
     if renewals == "rows":
         merged = attach_group_stats(merged, ["account_id"], final_earliest_date=F.min("_earliest"))
-    else:
-        # At most one row per account and day is left here, so the calendar bounds the window.
-        merged = merged.withColumn("final_earliest_date", F.min("_earliest").over(W.partitionBy("account_id")))
-    merged = merged.drop("_earliest")
-    start = as_column("final_earliest_date")
-    if as_of is None:
-        timed = {"lifespan_months": months_between_30(start, "churn_date"), "days_to_churn": days_between(start, "churn_date")}
-    else:
-        day = F.lit(as_of).cast("date")
-        timed = {"months_elapsed": months_between_30(start, day), "days_elapsed": days_between(start, day)}
-    return merged.withColumns(timed).drop("contract_number", "contract_end").distinct()
+        return _lifetime(merged.drop("_earliest"), as_of).distinct()
+    # One row per account and day is left here: the calendar bounds the window, and
+    # no two rows are the same.
+    merged = merged.withColumn("final_earliest_date", F.min("_earliest").over(W.partitionBy("account_id")))
+    return _lifetime(merged.drop("_earliest"), as_of)

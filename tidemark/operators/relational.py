@@ -204,13 +204,14 @@ def first_present_per_key(df: DataFrame, keys: list[str], columns: list[str], or
 
     Columns are picked independently, so one output row can mix input rows.
     """
-    picks = [
-        F.min(F.when(F.col(c).isNotNull(), F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.col(c).alias("v"))))
-        .getField("v")
-        .alias(c)
-        for c in columns
+    return df.dropna(subset=keys).groupBy(*keys).agg(*_first_present(columns, order))
+
+
+def _first_present(columns: list[str], order: list[Column]) -> list[Column]:
+    fields = [o.alias(f"_o{i}") for i, o in enumerate(order)]
+    return [
+        F.min(F.when(F.col(c).isNotNull(), F.struct(*fields, F.col(c).alias("v")))).getField("v").alias(c) for c in columns
     ]
-    return df.dropna(subset=keys).groupBy(*keys).agg(*picks)
 
 
 def dedupe_most_complete(
@@ -221,11 +222,14 @@ def dedupe_most_complete(
     ``mode='column'`` fills each column with its first non-NULL value in that
     order; ``mode='row'`` keeps one whole row.
     """
-    order = [-F.coalesce(F.length(length_of), F.lit(-1)), *nulls_last(length_of)]
+    length = -F.coalesce(F.length(length_of), F.lit(-1))
     if mode == "row":
-        return dedupe_keep_first(df, keys, order)
-    rest = [c for c in df.columns if c not in keys]
-    return first_present_per_key(df, keys, rest, order).select(*df.columns)
+        return dedupe_keep_first(df, keys, [length, *nulls_last(length_of)])
+    rest = [c for c in df.columns if c not in (*keys, length_of)]
+    # A text without a length is NULL, so the length alone puts it last.
+    longest = F.min(F.when(F.col(length_of).isNotNull(), F.struct(length.alias("_l"), F.col(length_of).alias("v"))))
+    picks = [longest.getField("v").alias(length_of), *_first_present(rest, [length, F.col(length_of)])]
+    return df.dropna(subset=keys).groupBy(*keys).agg(*picks).select(*df.columns)
 
 
 # --- sort, top, sets ----------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import features as X
-from tidemark.operators.merge import Bundle, merge_sources
+from tidemark.operators.merge import Bundle, merge_sources, timeline
 from tidemark.operators.relational import drop_existing
 
 
@@ -28,7 +28,8 @@ class Load:
 def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
     """All accounts; weeks after a churn are guarded out; statics hold the time to churn."""
     merged = merge_sources(bundle, since)
-    weekly = X.leak_guard(X.weekly_features(merged, since), bundle.account)
+    # Weekly metrics need the dated sources only, not renewals or risk.
+    weekly = X.leak_guard(X.weekly_features(timeline(bundle, since), since), bundle.account)
     static = X.static_features(merged, X.TRAIN_STATIC)
     rollup = X.entity_rollup(weekly)
     metadata = X.account_metadata(bundle.account)
@@ -41,7 +42,7 @@ def live_load(bundle: Bundle, since: str = "2020-01-01", as_of: str = "2020-01-0
     """Accounts that have not churned; time is measured up to ``as_of``; nothing is filled in."""
     live = bundle.live()
     merged = merge_sources(live, since, as_of=as_of)
-    weekly = X.weekly_features(merged, since)
+    weekly = X.weekly_features(timeline(live, since), since)
     static = X.static_features(merged, X.LIVE_STATIC, fill_missing=False)
     rollup = X.entity_rollup(weekly)
     metadata = drop_existing(X.account_metadata(live.account), ["churn_date"])
