@@ -104,6 +104,8 @@ def lowess_fit(x: np.ndarray, y: np.ndarray, frac: float = 0.3, iters: int = 3)
         fit = np.where(usable, (lever * ys).sum(axis=1), y)
         residual = np.abs(y - fit)
         middle = np.median(residual)
+        if 0 < middle <= 1e-12 * np.abs(y).max():
+            break  # the fit is exact; what is left is rounding, which must not set weights
         r = np.where(residual > 0, 1.0, 0.0) if middle == 0 else residual / (6 * middle)
         robust = np.where(r <= 0.001, 1.0, np.where(r < 0.999, (1 - r**2) ** 2, 0.0))
     return fit

@@ -49,12 +49,10 @@ def read_csv_described(spark: SparkSession, path: str, metadata: str) -> DataFra
 
 def read_csv_dir(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
     """Every CSV of a folder by file stem, each with its own columns, and the names that failed."""
-    listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path").collect()
-    )
+    listed = spark.read.option("pathGlobFilter", "*.csv").text(folder).inputFiles()
     tables: dict[str, DataFrame] = {}
     failed = []
-    for path in sorted(r["path"] for r in listed):
+    for path in sorted(listed):
         stem = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
         try:
             df = read_csv(spark, path)
