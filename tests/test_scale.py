@@ -77,12 +77,14 @@ def names(n, seed, alphabet="abcdefg "):
     return sorted(set(out))
 
 
-@pytest.mark.parametrize("seed,least", [(1, 93), (2, 93), (3, 88)])
-def test_fuzzy_join_loses_no_pair(spark, seed, least):
+@pytest.mark.parametrize(
+    "seed,least,widths", [(1, 93, match.KEY_WIDTHS), (2, 93, (4, 3, 3, 2, 2)), (3, 88, match.KEY_WIDTHS), (4, 93, (1, 1, 1, 1, 1))]
+)
+def test_fuzzy_join_loses_no_pair(spark, seed, least, widths):
     left, right = names(150, seed), names(150, seed) + names(60, seed + 10)
     l = spark.createDataFrame([(x,) for x in left], "l_name string")
     r = spark.createDataFrame([(x,) for x in sorted(set(right))], "r_name string")
-    got = {(x["l_name"], x["r_name"]): x["score"] for x in match.fuzzy_pairs(l, r, least).collect()}
+    got = {(x["l_name"], x["r_name"]): x["score"] for x in match.fuzzy_pairs(l, r, least, widths=widths).collect()}
     want = {}
     for a in left:
         for b in set(right):

@@ -26,7 +26,8 @@ from tidemark.functions.text import similarity_scores
 from tidemark.functions.weeks import as_column
 
 # Rare characters per key for a common prefix of 0, 1, 2, 3 and 4 characters: the
-# longer the prefix in the key, the fewer are needed to keep a key selective.
+# longer the prefix in the key, the fewer are needed to keep a key selective.  More
+# characters give more keys per name and fewer names per key; any choice is lossless.
 KEY_WIDTHS = (3, 2, 2, 1, 1)
 _EPS = 1e-9
 
@@ -50,7 +51,9 @@ def _marks(name: str, rarity: dict[str, int]) -> list[str]:
     return [f"{ch}{-k}" for k, _, ch in sorted(order)]
 
 
-def name_keys(name: str, min_score: float, rarity: dict[str, int]) -> list[str]:
+def name_keys(
+    name: str, min_score: float, rarity: dict[str, int], widths: tuple[int, ...] = KEY_WIDTHS
+) -> list[str]:
     marks = _marks(name, rarity)
     a = len(marks)
     keys = set()
@@ -59,7 +62,7 @@ def name_keys(name: str, min_score: float, rarity: dict[str, int]) -> list[str]:
         need = math.ceil(a * share - _EPS)
 
         def width_at(length: int) -> int:
-            return min(KEY_WIDTHS[p], math.ceil(length * share - _EPS))
+            return min(widths[p], math.ceil(length * share - _EPS))
 
         partners = range(max(1, need), math.floor(a / share + _EPS) + 1)
         for width in {min(width_at(a), width_at(b)) for b in partners}:
@@ -68,7 +71,9 @@ def name_keys(name: str, min_score: float, rarity: dict[str, int]) -> list[str]:
     return sorted(keys)
 
 
-def match_keys(name: Column | str, min_score: float, rarity: dict[str, int]) -> Column:
+def match_keys(
+    name: Column | str, min_score: float, rarity: dict[str, int], widths: tuple[int, ...] = KEY_WIDTHS
+) -> Column:
     """Join keys of a name; two names that can reach the score share at least one.
 
     One Arrow call per batch of names.
@@ -76,19 +81,25 @@ def match_keys(name: Column | str, min_score: float, rarity: dict[str, int]) ->
 
     @F.pandas_udf("array<string>")
     def keys(names: pd.Series) -> pd.Series:
-        return names.map(lambda n: name_keys(n, min_score, rarity) if isinstance(n, str) else [])
+        return names.map(lambda n: name_keys(n, min_score, rarity, widths) if isinstance(n, str) else [])
 
     return keys(as_column(name))
 
 
-def fuzzy_pairs(left: DataFrame, right: DataFrame, min_score: int = 93, ignore_case: bool = True) -> DataFrame:
+def fuzzy_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    min_score: int = 93,
+    ignore_case: bool = True,
+    widths: tuple[int, ...] = KEY_WIDTHS,
+) -> DataFrame:
     """(l_name, r_name, score) of all pairs of two distinct-name frames at or above the score."""
     fold = F.lower if ignore_case else (lambda c: c)
     l, r = left.withColumn("lf", fold(F.col("l_name"))), right.withColumn("rf", fold(F.col("r_name")))
     rarity = _character_ranks(l.select(F.col("lf").alias("n")).union(r.select(F.col("rf").alias("n"))))
 
     def keyed(df: DataFrame, folded: str) -> DataFrame:
-        key = F.explode(match_keys(folded, float(min_score), rarity)).alias("key")
+        key = F.explode(match_keys(folded, float(min_score), rarity, widths)).alias("key")
         return spread(df, folded).select("*", key).withColumns({"p": F.substring("key", 1, 1).cast("int"), "k": F.xxhash64("key")}).drop("key")
 
     # A key of prefix length p serves the pairs whose common prefix is exactly p.
@@ -149,6 +160,7 @@ def fuzzy_match(
     r_name: str,
     min_score: int = 93,
     ignore_case: bool = True,
+    widths: tuple[int, ...] = KEY_WIDTHS,
 ) -> DataFrame:
     """Rows of ``left`` joined to the rows of ``right`` whose name is most similar.
 
@@ -165,7 +177,7 @@ def fuzzy_match(
     # Scoring is the dear step and this keeps it single.  Each task drops its own
     # lower ranks before the shuffle, so a name arrives with its best partners only.
     by_name = W.partitionBy("l_name").orderBy(F.desc("score"))
-    near = fuzzy_pairs(open_names, rn, min_score, ignore_case).withColumn("r", F.rank().over(by_name)).where("r = 1").drop("r")
+    near = fuzzy_pairs(open_names, rn, min_score, ignore_case, widths).withColumn("r", F.rank().over(by_name)).where("r = 1").drop("r")
     pairs = exact.unionByName(near).withColumn("match_rank", F.lit(1))
     return (
         left.join(pairs.withColumnRenamed("l_name", l_name), l_name)

@@ -179,14 +179,23 @@ add(
 )
 
 
+SMALL_BINS = (1, 365, 730, 1095)
+
+
 def small_classes(t: Inputs) -> DataFrame:
-    ready, _ = split.prepared(
-        lifetimes(t).where("days_to_churn > 1000 OR account_id < 3"), "days_to_churn", split.BIN_DAYS, 3, True, True
-    )
+    """Classes of which the first spans one day only and may be too small to stand."""
+    ready, _ = split.prepared(lifetimes(t), "days_to_churn", SMALL_BINS, 50, True, True)
     return longs(ready.groupBy("sample_class", "no_of_renewals").agg(F.count(F.lit(1)).alias("n")))
 
 
-add("small_classes_merged", "M3 M4", small_classes)
+add(
+    "small_classes_merged", "M3 M4",
+    small_classes,
+    f"""WITH {LIFETIME}, c AS (SELECT CASE WHEN days_to_churn <= 1 THEN 1 WHEN days_to_churn <= 365 THEN 2 WHEN days_to_churn <= 730 THEN 3 ELSE 4 END AS c
+            FROM lifetime WHERE days_to_churn BETWEEN 1 AND 1095),
+        m AS (SELECT CASE WHEN c = 1 AND (SELECT count(*) FROM c WHERE c = 1) < 50 THEN 2 ELSE c END AS c FROM c)
+        SELECT c::BIGINT AS sample_class, (c - 1)::BIGINT AS no_of_renewals, count(*) AS n FROM m GROUP BY 1, 2""",
+)
 
 
 def split_counts(t: Inputs) -> DataFrame:

@@ -176,12 +176,12 @@ add(
     lambda t: longs(
         match.fuzzy_pairs(
             t.named_accounts.select(F.col("account_name").alias("l_name")).distinct(),
-            t.named_usage.where(F.col("contract_number") % 2 == 1).select(F.col("usage_name").alias("r_name")).distinct(),
+            t.named_usage.select(F.col("usage_name").alias("r_name")).distinct(),
         )
     ),
     """SELECT * FROM (SELECT l_name, r_name, CAST(floor(jaro_winkler_similarity(lower(l_name), lower(r_name)) * 100 + 1e-9) AS BIGINT) AS score
         FROM (SELECT DISTINCT account_name AS l_name FROM named_accounts)
-        CROSS JOIN (SELECT DISTINCT usage_name AS r_name FROM named_usage WHERE contract_number % 2 = 1)) WHERE score >= 93""",
+        CROSS JOIN (SELECT DISTINCT usage_name AS r_name FROM named_usage)) WHERE score >= 93""",
 )
 add(
     "best_scores_with_ties", "W1",

@@ -210,16 +210,15 @@ add("typed_round_trip", "S18", typed_copy, "SELECT * REPLACE (churned_flag::BIGI
 
 def retained(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "retained")
-    daily = t.orders.groupBy(F.col("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
-    old, new = daily.where("day < date'2001-07-01'"), daily.where("day >= date'2001-07-01'")
-    files.append_with_retention(old.where("day >= date'2001-01-01'"), path, "day", "2001-07-01")
-    return files.append_with_retention(new, path, "day", "2001-08-01", 90)
+    monthly = t.orders.groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(F.count(F.lit(1)).alias("orders"))
+    files.append_with_retention(monthly.where("month < date'2001-07-01'"), path, "month", "2001-07-01")
+    return files.append_with_retention(monthly.where("month >= date'2001-07-01'"), path, "month", "2001-08-01", 90)
 
 
 add(
     "append_with_retention", "S19 O6",
     retained,
-    "SELECT o_orderdate AS day, count(*) AS orders FROM ord WHERE o_orderdate >= DATE '2001-08-01' - 90 GROUP BY 1",
+    """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders FROM ord GROUP BY 1 HAVING month >= DATE '2001-08-01' - 90""",
 )
 add(
     "first_rows", "S20",
