@@ -160,6 +160,11 @@ add(
 )
 
 
+# Column kinds by the distinct count {u}.
+INT_KIND = "CASE WHEN {u} = 2 THEN 'bin_int' WHEN {u} <= 10 THEN 'cat_int(' || {u} || ')' ELSE 'int' END"
+TEXT_KIND = "CASE WHEN {u} = 2 THEN 'bin' WHEN {u} > 10 THEN 'cat_high_card(' || {u} || ')' ELSE 'cat(' || {u} || ')' END"
+
+
 def exported(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "export")
     done, failed = files.export_many({"supplier": t.raw("supplier"), "nation": t.raw("nation")}, path)
@@ -173,13 +178,13 @@ def exported(t: Inputs) -> DataFrame:
 add(
     "export_bundle", "S16 V8",
     exported,
-    """SELECT 'supplier' AS "table", 's_suppkey' AS "column", 'int' AS kind, count(DISTINCT s_suppkey) AS n_unique FROM supplier
-        UNION ALL SELECT 'supplier', 's_name', 'cat_high_card(' || count(DISTINCT s_name) || ')', count(DISTINCT s_name) FROM supplier
-        UNION ALL SELECT 'supplier', 's_nationkey', 'int', count(DISTINCT s_nationkey) FROM supplier
-        UNION ALL SELECT 'supplier', 's_acctbal', 'num', count(DISTINCT s_acctbal) FROM supplier
-        UNION ALL SELECT 'nation', 'n_nationkey', 'int', count(DISTINCT n_nationkey) FROM nation
-        UNION ALL SELECT 'nation', 'n_name', 'cat_high_card(' || count(DISTINCT n_name) || ')', count(DISTINCT n_name) FROM nation
-        UNION ALL SELECT 'nation', 'n_regionkey', 'cat_int(' || count(DISTINCT n_regionkey) || ')', count(DISTINCT n_regionkey) FROM nation""",
+    " UNION ALL ".join(
+        f"""SELECT '{table}' AS "table", '{c}' AS "column", {kind.format(u=f'count(DISTINCT {c})')} AS kind, count(DISTINCT {c}) AS n_unique FROM {table}"""
+        for table, c, kind in (
+            ("supplier", "s_suppkey", INT_KIND), ("supplier", "s_name", TEXT_KIND), ("supplier", "s_nationkey", INT_KIND), ("supplier", "s_acctbal", "'num'"),
+            ("nation", "n_nationkey", INT_KIND), ("nation", "n_name", TEXT_KIND), ("nation", "n_regionkey", INT_KIND),
+        )
+    ),
 )
 
 

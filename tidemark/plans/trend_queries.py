@@ -11,12 +11,12 @@ from tidemark.plans.registry import add, longs, rounded, shown
 
 # Positions within each segment's weekly series: y documents, x the position itself.
 POINTS = """pts AS (SELECT segment, yyyywk, documents_opened::DOUBLE AS y, row_number() OVER (PARTITION BY segment ORDER BY yyyywk) - 1 AS i,
-    count(*) OVER (PARTITION BY segment) AS n FROM weekly_segments)"""
+    count(*) OVER (PARTITION BY segment) AS n FROM weekly_segments WHERE documents_opened IS NOT NULL)"""
 
 
 def series(t: Inputs) -> DataFrame:
     """Weekly documents per segment with the position as x."""
-    return G.indexed(t.weekly_segments, ["segment"], "yyyywk").select("segment", "yyyywk", F.col("i").alias("x"), F.col("documents_opened").alias("y"))
+    return G.indexed(t.weekly_segments.dropna(subset=["documents_opened"]), ["segment"], "yyyywk").select("segment", "yyyywk", F.col("i").alias("x"), F.col("documents_opened").alias("y"))
 
 
 add(
@@ -35,7 +35,7 @@ add(
         ), 5
     ),
     """WITH b AS (SELECT segment, yyyywk, sum(documents_opened)::BIGINT AS total, avg(documents_opened) AS lev,
-            row_number() OVER (PARTITION BY segment ORDER BY yyyywk) - 1 AS i FROM weekly GROUP BY 1, 2),
+            row_number() OVER (PARTITION BY segment ORDER BY yyyywk) - 1 AS i FROM weekly GROUP BY 1, 2 HAVING sum(documents_opened) IS NOT NULL),
         f AS (SELECT segment, regr_slope(total, i) AS s, regr_intercept(total, i) AS c, avg(lev) / avg(total) AS k FROM b GROUP BY 1)
         SELECT b.segment, yyyywk::BIGINT AS yyyywk, total, round(greatest(c + s * i, 0), 5) AS fitted, round(greatest(c + s * i, 0) * k, 5) AS fitted_scaled
         FROM b JOIN f USING (segment)""",
@@ -108,7 +108,7 @@ def long_metrics(t: Inputs) -> DataFrame:
 
 STATUS = f"""WITH pts AS (SELECT metric, y::DOUBLE AS y, row_number() OVER (PARTITION BY metric ORDER BY yyyywk) - 1 AS i, count(*) OVER (PARTITION BY metric) AS n FROM (
         SELECT 'documents_opened' AS metric, yyyywk, documents_opened AS y FROM weekly_totals UNION ALL SELECT 'storage_mb', yyyywk, storage_mb FROM weekly_totals
-        UNION ALL SELECT 'amount_due', yyyywk, storage_mb FROM weekly_totals)),
+        UNION ALL SELECT 'amount_due', yyyywk, storage_mb FROM weekly_totals) WHERE y IS NOT NULL),
     {LATE.format(least=3, share=0.2)}, f AS (SELECT metric, max(n) AS n_points, regr_slope(y, j) / avg(y) AS s FROM late GROUP BY 1),
     g AS (SELECT *, CASE WHEN metric = 'amount_due' THEN -s ELSE s END AS v FROM f)
     SELECT metric, n_points, round(s, 6) AS recent_slope, CASE WHEN v < -0.001 THEN 'alarm' WHEN v > 0.001 THEN 'ok' ELSE 'stable' END AS status FROM g"""
