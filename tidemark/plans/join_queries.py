@@ -111,8 +111,8 @@ TIMELINE = """SELECT account_id, month, receipt_date, functional_amount, invoice
     FROM p FULL JOIN r USING (account_id, month) FULL JOIN x USING (account_id, month)"""
 add(
     "financial_timeline", "J3 A1",
-    lambda t: rounded(merge.financial_timeline(t.bundle), 2).drop("revline_total").join(
-        rounded(merge.financial_timeline(t.bundle), 4).select("account_id", "month", "revline_total"), ["account_id", "month"]
+    lambda t: merge.financial_timeline(t.bundle).withColumns(
+        {c: F.round(c, d) for c, d in (("functional_amount", 2), ("revline_total", 4), ("amount_due", 2))}
     ),
     f"""WITH {SUMMED} SELECT * REPLACE (round(functional_amount, 2) AS functional_amount, round(revline_total, 4) AS revline_total,
         round(amount_due, 2) AS amount_due) FROM ({TIMELINE})""",
