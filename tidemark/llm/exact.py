@@ -83,7 +83,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pr
     """
     key = F.col(f"`{doc_id}`")
     rows = settled(_refined(docs.select(key, F.col(f"`{text}`")), text, prefix, digest_all).drop(text))
-    groups = _groups(rows, doc_id)
+    groups = settled(_groups(rows, doc_id))
     early = rows.filter("__settled <> 'full'").withColumns({"__size": F.lit(1).cast("long"), "__keep": key})
     late = rows.filter("__settled = 'full'").join(groups, F.col("__sha") == F.col("__key"), "left").drop("__key")
     return early.unionByName(late).select(

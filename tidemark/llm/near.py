@@ -43,6 +43,10 @@ from tidemark.llm.shingles import GOLDEN, MIX_1, distinct_shingles, mixed
 BINS, ROWS, SIZE, PERCENT, PIVOTS = 128, 4, 5, 75, 3
 
 
+def _salt(i: int) -> np.uint64:
+    return np.uint64(i * int(GOLDEN) % (1 << 64))
+
+
 def sketches(shingles: np.ndarray, offsets: np.ndarray, bins: int = BINS) -> np.ndarray:
     """A row of ``bins`` values per set; ``bins`` is a power of two, empty sets get the largest value throughout."""
     rows = len(offsets) - 1
@@ -52,7 +56,7 @@ def sketches(shingles: np.ndarray, offsets: np.ndarray, bins: int = BINS) -> np.
     items = shingles
     open_rows = np.diff(offsets) > 0
     for i in range(2 * bins):
-        x = mixed(items + np.uint64(i + 1) * GOLDEN)
+        x = mixed(items + _salt(i + 1))
         bin_ = (x & np.uint64(bins - 1)).astype(np.int64) if i < bins else i - bins
         np.minimum.at(out, doc * bins + bin_, (np.uint64(i) << np.uint64(54)) | (x >> np.uint64(10)))
         open_rows &= (out.reshape(rows, bins) == empty).any(axis=1)
@@ -77,7 +81,7 @@ def _set_keys(shingles: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     """Two sums of differently mixed elements: equal for equal sets, and as 128 bits for no others."""
     out = []
     for salt in (1, 2):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(shingles ^ (np.uint64(salt) * GOLDEN)), dtype=np.uint64)])
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(shingles ^ _salt(salt)), dtype=np.uint64)])
         out.append(sums[offsets[1:]] - sums[offsets[:-1]])
     return out[0], out[1]
 
@@ -219,7 +223,7 @@ def near_components(
             links = links.union(found)
             labels = components(links)
     ids = classes.select(F.col("__low").alias("l"), F.col("__high").alias("h"), "x")
-    by_class = _labelled(ids, labels, "x").select("l", "h", "component")
+    by_class = settled(_labelled(ids, labels, "x").select("l", "h", "component"))
     named = base.filter("__n > 0").join(by_class, (F.col("__low") == F.col("l")) & (F.col("__high") == F.col("h")), "left")
     alone = base.filter("__n = 0").withColumn("component", F.col("__id"))
     columns = [

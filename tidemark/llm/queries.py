@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import scratch_path, table
 from tidemark.llm.exact import exact_groups
 from tidemark.llm.near import near_components
+from tidemark.llm.packing import packed
+from tidemark.llm.simple8b import read_tokens, write_tokens
+from tidemark.llm.tokens import vocabulary_path
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,9 +23,22 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_components(table(spark, folder, "documents"))
 
 
+def op8_simple8b(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "simple8b")
+    write_tokens(table(spark, folder, "documents"), path, vocabulary_path())
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packed(table(spark, folder, "documents"), vocabulary_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op8_simple8b": op8_simple8b,
     "op9_near_dedup": op9_near_dedup,
+    "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
