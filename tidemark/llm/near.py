@@ -15,11 +15,16 @@ and linked documents form components.
    thousands of copies count once.
 3. *Banding.*  Four coordinates make a band; two sets with similarity 0.75 share none of
    the 32 bands with a probability of 0.000005, and 0.0000003 at 0.8.
-4. *Verification on full sets*, in rounds.  First each class is compared with one class of
-   its buckets, then with a few more pivots of each bucket that still holds several
-   components, and at last every pair of a bucket whose two sides are neither linked
-   by a path nor of too different sizes.  Only pairs whose result could still change
-   a component are compared, and no bucket is cut off.
+4. *Verification on full sets*, in rounds.  First each class is compared with the first
+   class of its buckets.  Buckets that then still hold several components stay open.  A
+   shingle that no other class of an open bucket has can be part of no intersection, so
+   two sets of n and m shingles, a and b of them not alone, have at most min(a, b) in
+   common; pairs whose similarity this rules out are never compared.  Of the others, each
+   class is compared with a pivot of each open bucket, and at last with every class of
+   another component in the bucket whose size allows the similarity: classes outside a
+   bucket's largest component look for partners by ranges of size.  No bucket is cut
+   off and no partner left out, yet a large group costs one comparison per class where its
+   classes are linked, and next to none where their own shingles keep them apart.
 
 Rows of a hot class or bucket are combined before the shuffle or split by Spark in
 joins.  Nothing is collected to the driver but the counts of what is left to do.
@@ -40,7 +45,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import marked, member_bits, settled, slices
 from tidemark.llm.shingles import GOLDEN, MIX_1, distinct_shingles, mixed
 
-BINS, ROWS, SIZE, PERCENT, PIVOTS = 128, 4, 5, 75, 3
+BINS, ROWS, SIZE, PERCENT, PIVOTS = 128, 4, 5, 75, 1
 
 
 def _salt(i: int) -> np.uint64:
@@ -148,16 +153,69 @@ def _labelled(members: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     return members.join(found, column, "left").withColumn("component", F.coalesce("__found", column)).drop("__found")
 
 
-def _pivot_pairs(open_members: DataFrame, turn: int) -> DataFrame:
+def _possible(percent: int) -> Column:
+    """Whether two sets (na, nb shingles; sa, sb of them shared with any other) can be similar enough."""
+    most = F.least("sa", "sb")
+    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (100 * most >= percent * (F.col("na") + F.col("nb") - most))
+
+
+def _shared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of each class among the members: how many of its shingles some other of these classes has, as (x, s)."""
+    ids = members.select("x").distinct()
+    each = sets.join(ids, F.col("__id") == F.col("x"), "left_semi").select("__id", F.explode("__set").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("__in"), F.min("__id").alias("x")).filter("__in = 1")
+    counts = alone.groupBy("x").agg(F.count(F.lit(1)).alias("__alone"))
+    sizes = sets.select(F.col("__id").alias("x"), F.size("__set").alias("n"))
+    return ids.join(sizes, "x").join(counts, "x", "left").select("x", (F.col("n") - F.coalesce("__alone", F.lit(0))).alias("s"))
+
+
+def _pivot_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each open bucket's members with one pivot of another component than their own.
 
     Pivots are the two members that come first and last by component, ties broken by
-    a hash that differs from turn to turn, so other members are tried each time.
+    a hash that differs from turn to turn.
+    """
+    order = F.struct("component", F.xxhash64("x", F.lit(turn)).alias("turn"), "x", "n", "s")
+    pivots = settled(members.groupBy("key").agg(F.min(order).alias("__first"), F.max(order).alias("__last")))
+    pivot = F.when(F.col("component") != F.col("__first.component"), F.col("__first")).otherwise(F.col("__last"))
+    both = members.join(pivots, "key").select("x", F.col("n").alias("na"), F.col("s").alias("sa"), pivot.alias("__p"))
+    both = both.select("x", "na", "sa", F.col("__p.x").alias("y"), F.col("__p.n").alias("nb"), F.col("__p.s").alias("sb"))
+    return both.filter(_possible(percent)).select("x", "y")
+
+
+#: Sizes in one class differ by less than this factor.
+SIZE_CLASS = 1.04
+
+
+def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """What is left in open buckets: pairs of different components that can be similar enough.
+
+    Of the members outside the bucket's largest component, each looks for partners in the
+    classes of those sizes that its own shared shingles allow.
     """
-    order = F.struct("component", F.xxhash64("x", F.lit(turn)).alias("turn"), "x")
-    pivots = open_members.groupBy("key").agg(F.min(order).alias("__first"), F.max(order).alias("__last"))
-    y = F.when(F.col("component") != F.col("__first.component"), F.col("__first.x")).otherwise(F.col("__last.x"))
-    return open_members.join(pivots, "key").select("x", y.alias("y"))
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("__in"))
+    largest = settled(sizes.groupBy("key").agg(F.max(F.struct("__in", "component")).alias("__most")))
+
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(n) / F.log(F.lit(SIZE_CLASS))).cast("int")
+
+    ratio = percent / 100
+    least = F.col("na") * ratio
+    most = F.least(F.col("na") / ratio, F.col("sa") * (1 + 1 / ratio) - F.col("na"))
+    a = members.join(largest, "key").filter(F.col("component") != F.col("__most.component"))
+    a = a.select("key", "x", F.col("n").alias("na"), F.col("s").alias("sa"), F.col("component").alias("ca")).filter(most >= least)
+    a = a.withColumn("class", F.explode(F.sequence(size_class(least) - 1, size_class(most) + 1)))
+    b = members.select(
+        "key", F.col("x").alias("y"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("component").alias("cb"), size_class(F.col("n")).alias("class")
+    )
+    return a.join(b, ["key", "class"]).filter((F.col("ca") != F.col("cb")) & _possible(percent)).select("x", "y")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their components, of the buckets that hold several components."""
+    known = _labelled(members, labels, "x")
+    several = settled(known.groupBy("key").agg(F.min("component").alias("__a"), F.max("component").alias("__b")).filter("__a <> __b").select("key"))
+    return settled(known.join(several, "key", "left_semi"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -205,18 +263,17 @@ def near_components(
     tried = settled(_ordered(first))
     links = settled(_linked(tried, sets, percent))
     labels = components(links)
-    members = members.select("key", "x", "n")
+    members = members.select("key", "x")
+    known = _open(members, labels)
+    shared_counts = settled(_shared(known, sets))
+    sizes = sets.select(F.col("__id").alias("x"), F.size("__set").alias("n"))
+    members = known.select("key", "x").join(shared_counts.join(sizes, "x"), "x")
     for turn in range(pivots + 1):
-        known = _labelled(members, labels, "x")
-        unsettled = known.groupBy("key").agg(F.min("component").alias("__a"), F.max("component").alias("__b")).filter("__a <> __b")
-        known = settled(known.join(unsettled.select("key"), "key", "left_semi"))
-        if turn < pivots:
-            wanted = _pivot_pairs(known, turn)
-        else:
-            wanted = _all_pairs(known, percent)
+        known = _open(members, labels)
+        wanted = _pivot_pairs(known, turn, percent) if turn < pivots else _all_pairs(known, percent)
         wanted = settled(_ordered(wanted).join(tried, ["x", "y"], "left_anti"))
-        if turn == pivots and wanted.isEmpty():
-            break
+        if wanted.isEmpty():
+            continue
         found = settled(_linked(wanted, sets, percent))
         tried = tried.union(wanted)
         if not found.isEmpty():
@@ -235,14 +292,6 @@ def near_components(
     return named.select(columns).unionByName(alone.select(columns))
 
 
-def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """What is left in open buckets: pairs of different components whose sizes allow the similarity."""
-    a = members.select("key", "x", F.col("n").alias("na"), F.col("component").alias("ca"))
-    b = members.select("key", F.col("x").alias("y"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits: Column = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return a.join(b, "key").filter((F.col("x") < F.col("y")) & (F.col("ca") != F.col("cb")) & fits).select("x", "y")
-
-
 def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each component, with all their columns."""
     found = settled(near_components(docs, doc_id, text, **options))

@@ -186,7 +186,11 @@ def packed(
         partial(_cut, vocabulary=vocabulary, end=end, length=length, groups=groups, full_groups=full_groups),
         f"key long, doc {kind}, start long, length long, total long, ids binary",
     )
+
+    def pack(group: pa.Table) -> pa.Table:
+        return _pack(group, groups, length)
+
     return pieces.groupBy("key").applyInArrow(
-        partial(_pack, groups=groups, length=length),
+        pack,
         f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
     )

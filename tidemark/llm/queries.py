@@ -4,16 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import scratch_path, table
+from tidemark.llm import credentials, pii, quality
+from tidemark.llm.common import scratch_path, table, written
 from tidemark.llm.exact import exact_groups
+from tidemark.llm.html import main_texts
 from tidemark.llm.near import near_components
 from tidemark.llm.packing import packed
+from tidemark.llm.separators import document_counts, flat_tokens
 from tidemark.llm.simple8b import read_tokens, write_tokens
 from tidemark.llm.tokens import vocabulary_path
 
+#: The end-of-document id of flat token files: the vocabulary's own, which ordinary text never yields.
+END_OF_DOCUMENT = 49407
+
+
+def _listed(spans: Column) -> Column:
+    """Spans as kind:start:end, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts of each base kind, the digest of the base spans, and all spans as text."""
+    spans = F.col("spans")
+    found_kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(found_kinds, k))).cast("long").alias(f"n_{k}") for k in kinds]
+    base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return found.select("doc_id", *counts, F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(spans).alias("spans"))
+
+
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    return main_texts(table(spark, folder, "pages"))
+
+
+def op2_separators(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = written(flat_tokens(table(spark, folder, "documents"), vocabulary_path(), END_OF_DOCUMENT), "flat")
+    return document_counts(blocks, END_OF_DOCUMENT)
+
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"), digest_all=True).drop("settled_by")
@@ -23,6 +52,20 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_components(table(spark, folder, "documents"))
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return _span_digest(pii.personal_data(table(spark, folder, "documents")), pii.BASE)
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judged(docs, quality.train(docs, table(spark, folder, "labels"))).drop("content_share")
+
+
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return _span_digest(credentials.secrets(docs, credentials.train(docs)), credentials.BASE)
+
+
 def op8_simple8b(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "simple8b")
     write_tokens(table(spark, folder, "documents"), path, vocabulary_path())
@@ -35,7 +78,12 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
+    "op2_separators": op2_separators,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_pii": op4_pii,
+    "op6_quality": op6_quality,
+    "op7_secrets": op7_secrets,
     "op8_simple8b": op8_simple8b,
     "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
