@@ -13,6 +13,7 @@ from tidemark.llm.exact import exact_groups
 from tidemark.llm.html import main_texts
 from tidemark.llm.near import near_components
 from tidemark.llm.packing import packed
+from tidemark.llm.pieces import decoded, encoded
 from tidemark.llm.separators import document_counts, flat_tokens
 from tidemark.llm.simple8b import read_tokens, write_tokens
 from tidemark.llm.tokens import vocabulary_path
@@ -56,6 +57,19 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return _span_digest(pii.personal_data(table(spark, folder, "documents")), pii.BASE)
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    path = vocabulary_path("piece_bpe_32k.model")
+    found = decoded(encoded(table(spark, folder, "documents"), path), path)
+    return found.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        "score",
+        F.array_join(F.transform("others", lambda o: o["score"].cast("decimal(20,1)").cast("string")), ",").alias("other_scores"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.judged(docs, quality.train(docs, table(spark, folder, "labels"))).drop("content_share")
@@ -82,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_separators": op2_separators,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_pii": op4_pii,
+    "op5_pieces": op5_pieces,
     "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
     "op8_simple8b": op8_simple8b,

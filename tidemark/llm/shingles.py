@@ -91,6 +91,24 @@ def words(texts: pa.Array, lower: bool) -> Words:
     return Words(data, offsets, hashes, starts, ends, np.searchsorted(offsets, starts, "right") - 1)
 
 
+def spaced_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts cut behind each word, so that each part is a word and the white space before it.
+
+    Hash, first byte, end and text of each part; what follows a text's last word is a
+    part too, and the first part of a text has a hash of its own kind.
+    """
+    cuts = np.unique(np.concatenate([w.offsets, w.ends]))
+    starts, ends = cuts[:-1], cuts[1:]
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none, none
+    power, inverse = _powers(len(w.bytes))
+    sums = np.add.reduceat((w.bytes.astype(np.uint64) + np.uint64(1)) * power[: len(w.bytes)], starts)
+    doc = np.searchsorted(w.offsets, starts, "right") - 1
+    first = (starts == w.offsets[doc]).astype(np.uint64)
+    return mixed(sums * inverse[starts] + ((ends - starts).astype(np.uint64) * np.uint64(2) + first) * GOLDEN), starts, ends, doc
+
+
 def windows(w: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each window of ``size`` words within a text, and the place of its first word."""
     n = len(w.hashes) - size + 1

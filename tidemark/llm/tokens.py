@@ -35,6 +35,45 @@ def _byte_letters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class Known:
+    """Ids of strings already met in this process, found by the strings' hashes."""
+
+    def __init__(self, extras: int = 0) -> None:
+        self.extras = extras
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.extra = np.zeros((0, self.extras))
+
+    def unknown(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.ones(len(keys), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys
+
+    def learn(self, keys: np.ndarray, found: list, extra: np.ndarray | None = None) -> None:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        slots = len(self.size) + np.arange(len(found))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, sizes])
+        if extra is not None:
+            self.extra = np.concatenate([self.extra, extra])
+        keys, slots = np.concatenate([self.keys, keys]), np.concatenate([self.slots, slots])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.slots = keys[order], slots[order]
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return self.slots[np.searchsorted(self.keys, keys)]
+
+    def ids(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a sequence of slots, flat, and where each slot's end."""
+        sizes = self.size[slot]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.begin[slot] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 class Encoder:
     """Encodes with a vocabulary file of the tokenizers library, without added special tokens.
 
@@ -56,12 +95,7 @@ class Encoder:
         self.by_word = spec["model"].get("end_of_word_suffix") == "</w>" and steps == ["NFC", "Replace", "Lowercase"]
         self.model, self.letters = self.full.model, _byte_letters()
         self.parts: dict[str, tuple[int, ...]] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.parts.clear()
+        self.known = Known()
 
     def _part(self, part: str) -> tuple[int, ...]:
         got = self.parts.get(part)
@@ -79,17 +113,6 @@ class Encoder:
             return self._part(core.lower())
         return self._part(core.lower()) + self._part(tail) if core else self._part(tail)
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = [self.word(t) for t in texts]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        slots = len(self.size) + np.arange(len(found))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, sizes])
-        keys, slots = np.concatenate([self.keys, keys]), np.concatenate([self.slots, slots])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.slots = keys[order], slots[order]
-
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, flat, and where each text's begin."""
         rows = len(texts)
@@ -101,17 +124,14 @@ class Encoder:
         if not len(w.hashes):
             return np.zeros(0, np.uint32), np.zeros(rows + 1, np.int64)
         unique, first, place = np.unique(w.hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > CACHE_WORDS:
-            self._forget()
-        at = np.minimum(np.searchsorted(self.keys, unique), max(len(self.keys) - 1, 0))
-        new = np.ones(len(unique), bool) if not len(self.keys) else self.keys[at] != unique
+        if len(self.known.keys) > CACHE_WORDS:
+            self.known.forget()
+            self.parts.clear()
+        new = self.known.unknown(unique)
         if new.any():
             data, a, b = w.bytes.tobytes(), w.starts[first[new]].tolist(), w.ends[first[new]].tolist()
-            self._learn(unique[new], [data[i:j].decode() for i, j in zip(a, b, strict=True)])
-        slot = self.slots[np.searchsorted(self.keys, unique)][place]
-        sizes = self.size[slot]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.begin[slot] - ends + sizes, sizes) + np.arange(ends[-1])]
+            self.known.learn(unique[new], [self.word(data[i:j].decode()) for i, j in zip(a, b, strict=True)])
+        ids, ends = self.known.ids(self.known.slot(unique)[place])
         bounds = np.searchsorted(w.doc, np.arange(rows + 1))
         return ids, np.concatenate([[0], ends])[bounds]
 
