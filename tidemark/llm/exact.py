@@ -12,8 +12,8 @@ filter that is full costs more hashing but changes no result.
 Built-in expressions only.  NULL counts as the empty text, and all texts without a
 visible character are equal.  Of equal texts the longest original stays, then the
 smallest id; rows that repeat a kept row with its id are all marked as kept.  Columns
-are addressed by name, all others are left alone, and an empty table gives an empty
-result.
+are addressed by name, all others are left alone whatever their names, and an empty table
+gives an empty result.  An id comes before a missing one.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def _groups(rows: DataFrame, doc_id: str) -> DataFrame:
     return (
         rows.filter("__settled = 'full'")
         .groupBy(F.col("__sha").alias("__key"))
-        .agg(F.count(F.lit(1)).alias("__size"), F.min(F.struct((-F.col("__n")).alias("n"), F.col(f"`{doc_id}`").alias("id"))).alias("__first"))
+        .agg(F.count(F.lit(1)).alias("__size"), F.min(F.struct(-F.col("__n"), F.col(doc_id).isNull(), F.col(doc_id).alias("id"))).alias("__first"))
         .filter("__size > 1")
         .select("__key", "__size", F.col("__first.id").alias("__keep"))
     )
@@ -81,16 +81,18 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pr
     text_sha256 is NULL where the whole text was never hashed, unless ``digest_all``
     asks for the digests of all rows.
     """
-    key = F.col(f"`{doc_id}`")
-    rows = settled(_refined(docs.select(key, F.col(f"`{text}`")), text, prefix, digest_all).drop(text))
-    groups = settled(_groups(rows, doc_id))
-    early = rows.filter("__settled <> 'full'").withColumns({"__size": F.lit(1).cast("long"), "__keep": key})
+    key = F.col("__id")
+    source = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
+    rows = settled(_refined(source, "__text", prefix, digest_all).drop("__text"))
+    groups = settled(_groups(rows, "__id"))
+    early = rows.filter("__settled <> 'full'").withColumns({"__size": F.lit(None).cast("long"), "__keep": key})
     late = rows.filter("__settled = 'full'").join(groups, F.col("__sha") == F.col("__key"), "left").drop("__key")
+    alone = F.col("__size").isNull()
     return early.unionByName(late).select(
-        key,
-        F.coalesce("__keep", key).alias("keep_id"),
+        key.alias(doc_id),
+        F.when(alone, key).otherwise(F.col("__keep")).alias("keep_id"),
         F.coalesce("__size", F.lit(1)).alias("group_size"),
-        F.coalesce(F.col("__keep") == key, F.lit(True)).alias("kept"),
+        (alone | F.col("__keep").eqNullSafe(key)).alias("kept"),
         F.col("__settled").alias("settled_by"),
         F.col("__sha").alias("text_sha256"),
     )
@@ -102,13 +104,9 @@ def without_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     Rows that length or beginning settle pass straight through; only rows that share
     both with another row are joined with the choice of their group.
     """
-    rows = _refined(docs, text, prefix, False)
-    groups = settled(_groups(rows.select(doc_id, "__n", "__settled", "__sha"), doc_id))
-    early = rows.filter("__settled <> 'full'").select(*[F.col(f"`{c}`") for c in docs.columns])
-    late = (
-        rows.filter("__settled = 'full'")
-        .join(groups, F.col("__sha") == F.col("__key"), "left")
-        .filter(F.col("__keep").isNull() | (F.col("__keep") == F.col(f"`{doc_id}`")))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
-    return early.unionByName(late)
+    boxed = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__text"), F.struct("*").alias("__row"))
+    rows = _refined(boxed, "__text", prefix, False)
+    groups = settled(_groups(rows.select("__id", "__n", "__settled", "__sha"), "__id"))
+    early = rows.filter("__settled <> 'full'").select("__row.*")
+    late = rows.filter("__settled = 'full'").join(groups, F.col("__sha") == F.col("__key"), "left")
+    return early.unionByName(late.filter(F.col("__size").isNull() | F.col("__keep").eqNullSafe(F.col("__id"))).select("__row.*"))

@@ -15,21 +15,22 @@ and linked documents form components.
    thousands of copies count once.
 3. *Banding.*  Four coordinates make a band; two sets with similarity 0.75 share none of
    the 32 bands with a probability of 0.000005, and 0.0000003 at 0.8.
-4. *Verification on full sets*, in rounds.  First each class is compared with the first
-   class of its buckets.  Buckets that then still hold several components stay open.  A
-   shingle that no other class of an open bucket has can be part of no intersection, so
-   two sets of n and m shingles, a and b of them not alone, have at most min(a, b) in
-   common; pairs whose similarity this rules out are never compared.  Of the others, each
-   class is compared with a pivot of each open bucket, and at last with every class of
-   another component in the bucket whose size allows the similarity: classes outside a
-   bucket's largest component look for partners by ranges of size.  No bucket is cut
-   off and no partner left out, yet a large group costs one comparison per class where its
-   classes are linked, and next to none where their own shingles keep them apart.
+4. *Verification on full sets.*  The class that shares most buckets is a bucket's pivot,
+   as a rule the text that the others are copies of.  Each class is compared with the
+   best of its pivots, then, in buckets that still hold several components, with every
+   pivot.  Classes of different components in such a bucket are left; of each, its
+   overlap b with the pivot is known.  Two sets of n and m shingles can only be linked
+   if min(b, b') is large enough for n + m, which ranges of size find, or if they share
+   shingles that the pivot lacks, which a join on those finds and counts.  Pairs that either
+   way leaves open are compared.  So no bucket is cut off and no partner left out, yet of a
+   large group of copies around one text only those pairs meet that changed alike.
 
 Rows of a hot class or bucket are combined before the shuffle or split by Spark in
 joins.  Nothing is collected to the driver but the counts of what is left to do.
 
-NULL texts count as empty; rows that repeat an id are taken as the same document.
+NULL texts count as empty.  Rows that repeat an id are taken as the same document; rows
+without an id belong to the component of other rows with their set, or to none, and no
+filter drops them.  Other columns may have any names, and an empty table has no components.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import marked, member_bits, settled, slices
 from tidemark.llm.shingles import GOLDEN, MIX_1, distinct_shingles, mixed
 
-BINS, ROWS, SIZE, PERCENT, PIVOTS = 128, 4, 5, 75, 1
+BINS, ROWS, SIZE, PERCENT = 128, 4, 5, 75
 
 
 def _salt(i: int) -> np.uint64:
@@ -112,17 +113,17 @@ def _set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["__id", "__set"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar enough."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y) with the sizes na and nb of their full sets and the size of the intersection."""
     a = sets.select(F.col("__id").alias("x"), F.col("__set").alias("__a"))
     b = sets.select(F.col("__id").alias("y"), F.col("__set").alias("__b"))
     both = F.size(F.array_intersect("__a", "__b"))
-    return (
-        pairs.join(a, "x")
-        .join(b, "y")
-        .filter(100 * both >= percent * (F.size("__a") + F.size("__b") - both))
-        .select("x", "y")
-    )
+    return pairs.join(a, "x").join(b, "y").select("x", "y", F.size("__a").alias("na"), F.size("__b").alias("nb"), both.alias("both"))
+
+
+def _enough(both: Column, percent: int) -> Column:
+    """Whether sets of na and nb elements with so many in common are similar enough."""
+    return 100 * both >= percent * (F.col("na") + F.col("nb") - both)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -153,62 +154,42 @@ def _labelled(members: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     return members.join(found, column, "left").withColumn("component", F.coalesce("__found", column)).drop("__found")
 
 
-def _possible(percent: int) -> Column:
-    """Whether two sets (na, nb shingles; sa, sb of them shared with any other) can be similar enough."""
-    most = F.least("sa", "sb")
-    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (100 * most >= percent * (F.col("na") + F.col("nb") - most))
-
-
-def _shared(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of each class among the members: how many of its shingles some other of these classes has, as (x, s)."""
-    ids = members.select("x").distinct()
-    each = sets.join(ids, F.col("__id") == F.col("x"), "left_semi").select("__id", F.explode("__set").alias("shingle"))
-    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("__in"), F.min("__id").alias("x")).filter("__in = 1")
-    counts = alone.groupBy("x").agg(F.count(F.lit(1)).alias("__alone"))
-    sizes = sets.select(F.col("__id").alias("x"), F.size("__set").alias("n"))
-    return ids.join(sizes, "x").join(counts, "x", "left").select("x", (F.col("n") - F.coalesce("__alone", F.lit(0))).alias("s"))
-
-
-def _pivot_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each open bucket's members with one pivot of another component than their own.
-
-    Pivots are the two members that come first and last by component, ties broken by
-    a hash that differs from turn to turn.
-    """
-    order = F.struct("component", F.xxhash64("x", F.lit(turn)).alias("turn"), "x", "n", "s")
-    pivots = settled(members.groupBy("key").agg(F.min(order).alias("__first"), F.max(order).alias("__last")))
-    pivot = F.when(F.col("component") != F.col("__first.component"), F.col("__first")).otherwise(F.col("__last"))
-    both = members.join(pivots, "key").select("x", F.col("n").alias("na"), F.col("s").alias("sa"), pivot.alias("__p"))
-    both = both.select("x", "na", "sa", F.col("__p.x").alias("y"), F.col("__p.n").alias("nb"), F.col("__p.s").alias("sb"))
-    return both.filter(_possible(percent)).select("x", "y")
-
-
 #: Sizes in one class differ by less than this factor.
 SIZE_CLASS = 1.04
 
 
-def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """What is left in open buckets: pairs of different components that can be similar enough.
+def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes around a pivot that can still be linked.
 
-    Of the members outside the bucket's largest component, each looks for partners in the
-    classes of those sizes that its own shared shingles allow.
+    Members are (pivot, x, component, n, b), b the overlap with the pivot.  One side of a
+    pair is outside the pivot's largest component.
     """
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("__in"))
-    largest = settled(sizes.groupBy("key").agg(F.max(F.struct("__in", "component")).alias("__most")))
+    sizes = members.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("__in"))
+    largest = settled(sizes.groupBy("pivot").agg(F.max(F.struct("__in", "component")).alias("__most")))
+    a = settled(members.join(largest, "pivot").filter(F.col("component") != F.col("__most.component")).drop("__most"))
+    a = a.select("pivot", "x", F.col("component").alias("ca"), F.col("n").alias("na"), F.col("b").alias("ba"))
+    b = members.select("pivot", F.col("x").alias("y"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("b").alias("bb"))
+    inside = F.least("ba", "bb")
 
     def size_class(n: Column) -> Column:
         return F.floor(F.log(n) / F.log(F.lit(SIZE_CLASS))).cast("int")
 
     ratio = percent / 100
     least = F.col("na") * ratio
-    most = F.least(F.col("na") / ratio, F.col("sa") * (1 + 1 / ratio) - F.col("na"))
-    a = members.join(largest, "key").filter(F.col("component") != F.col("__most.component"))
-    a = a.select("key", "x", F.col("n").alias("na"), F.col("s").alias("sa"), F.col("component").alias("ca")).filter(most >= least)
-    a = a.withColumn("class", F.explode(F.sequence(size_class(least) - 1, size_class(most) + 1)))
-    b = members.select(
-        "key", F.col("x").alias("y"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("component").alias("cb"), size_class(F.col("n")).alias("class")
-    )
-    return a.join(b, ["key", "class"]).filter((F.col("ca") != F.col("cb")) & _possible(percent)).select("x", "y")
+    most = F.least(F.col("na") / ratio, F.col("ba") * (1 + 1 / ratio) - F.col("na"))
+    ranges = a.filter(most >= least).withColumn("class", F.explode(F.sequence(size_class(least) - 1, size_class(most) + 1)))
+    by_size = ranges.join(b.withColumn("class", size_class(F.col("nb"))), ["pivot", "class"])
+    by_size = by_size.filter((F.col("ca") != F.col("cb")) & _enough(inside, percent)).select("x", "y")
+
+    own = members.join(sets.select(F.col("__id").alias("x"), F.col("__set").alias("__x")), "x")
+    own = own.join(sets.select(F.col("__id").alias("pivot"), F.col("__set").alias("__p")), "pivot")
+    own = settled(own.select("pivot", "x", F.explode(F.array_except("__x", "__p")).alias("shingle")))
+    left = own.join(a, ["pivot", "x"])
+    right = own.withColumnRenamed("x", "y").join(b, ["pivot", "y"])
+    met = left.join(right, ["pivot", "shingle"]).filter(F.col("ca") != F.col("cb"))
+    counts = met.groupBy("pivot", "x", "y", "na", "nb", "ba", "bb").agg(F.count(F.lit(1)).alias("__outside"))
+    by_shingle = counts.filter(_enough(inside + F.col("__outside"), percent)).select("x", "y")
+    return by_size.union(by_shingle)
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -230,7 +211,6 @@ def near_components(
     percent: int = PERCENT,
     bins: int = BINS,
     rows: int = ROWS,
-    pivots: int = PIVOTS,
 ) -> DataFrame:
     """One row per row of ``docs``: the id, n_shingles, component_id (the least id reachable) and kept."""
     source = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
@@ -245,7 +225,7 @@ def near_components(
         base.filter("__n > 0").groupBy("__low", "__high").agg(F.min("__id").alias("x"), F.any_value("__n").alias("n"), F.any_value("__bands").alias("bands"))
     )
     banded = classes.select("x", "n", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("__in"), F.min("x").alias("__least")).filter("__in > 1")
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("__in")).filter("__in > 1")
     shared = settled(shared)
     bits = member_bits(shared, F.col("key"))
     members = settled(marked(banded, bits, "__hit", F.col("key")).filter("__hit").drop("__hit").join(shared, "key"))
@@ -259,26 +239,26 @@ def near_components(
         .join(members.select(F.col("x").alias("__id")).distinct(), "__id", "left_semi")
         .dropDuplicates(["__id"])
     )
-    first = members.filter("x <> __least").groupBy("x").agg(F.min("__least").alias("y"))
-    tried = settled(_ordered(first))
-    links = settled(_linked(tried, sets, percent))
-    labels = components(links)
-    members = members.select("key", "x")
-    known = _open(members, labels)
-    shared_counts = settled(_shared(known, sets))
-    sizes = sets.select(F.col("__id").alias("x"), F.size("__set").alias("n"))
-    members = known.select("key", "x").join(shared_counts.join(sizes, "x"), "x")
-    for turn in range(pivots + 1):
-        known = _open(members, labels)
-        wanted = _pivot_pairs(known, turn, percent) if turn < pivots else _all_pairs(known, percent)
-        wanted = settled(_ordered(wanted).join(tried, ["x", "y"], "left_anti"))
-        if wanted.isEmpty():
-            continue
-        found = settled(_linked(wanted, sets, percent))
-        tried = tried.union(wanted)
-        if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links)
+    degrees = members.groupBy("x").agg(F.sum("__in").alias("degree"))
+    ranked = members.select("key", "x").join(degrees, "x")
+    pivots = settled(ranked.groupBy("key").agg(F.max(F.struct("degree", "x")).alias("__best")).select("key", "__best.*").withColumnRenamed("x", "pivot"))
+    members = settled(members.select("key", "x").join(pivots, "key"))
+    best = members.filter("x <> pivot").groupBy("x").agg(F.max(F.struct("degree", "pivot")).alias("__best"))
+    known = settled(_overlaps(_ordered(best.select("x", F.col("__best.pivot").alias("y"))), sets))
+    labels = components(known.filter(_enough(F.col("both"), percent)))
+
+    wanted = _ordered(_open(members, labels).select("x", F.col("pivot").alias("y")))
+    known = known.union(settled(_overlaps(wanted.join(known, ["x", "y"], "left_anti"), sets)))
+    labels = components(known.filter(_enough(F.col("both"), percent)))
+
+    around = _open(members, labels).select("pivot", "x", "component").distinct()
+    either = known.select("x", F.col("y").alias("pivot"), F.col("na").alias("n"), F.col("both").alias("b"))
+    either = either.union(known.select("y", "x", "nb", "both"))
+    itself = sets.select(F.col("__id").alias("x"), F.col("__id").alias("pivot"), F.size("__set").alias("n"), F.size("__set").alias("b"))
+    around = settled(around.join(either.union(itself), ["x", "pivot"]))
+    wanted = _ordered(_remaining(around, sets, percent)).join(known, ["x", "y"], "left_anti")
+    known = known.union(settled(_overlaps(wanted, sets)))
+    labels = components(known.filter(_enough(F.col("both"), percent)))
     ids = classes.select(F.col("__low").alias("l"), F.col("__high").alias("h"), "x")
     by_class = settled(_labelled(ids, labels, "x").select("l", "h", "component"))
     named = base.filter("__n > 0").join(by_class, (F.col("__low") == F.col("l")) & (F.col("__high") == F.col("h")), "left")
@@ -287,7 +267,7 @@ def near_components(
         F.col("__id").alias(doc_id),
         F.col("__n").alias("n_shingles"),
         F.col("component").alias("component_id"),
-        (F.col("component") == F.col("__id")).alias("kept"),
+        F.col("component").eqNullSafe(F.col("__id")).alias("kept"),
     ]
     return named.select(columns).unionByName(alone.select(columns))
 
@@ -296,9 +276,7 @@ def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     """The rows of ``docs`` that stay, one document of each component, with all their columns."""
     found = settled(near_components(docs, doc_id, text, **options))
     dropped = found.filter(~F.col("kept")).select(F.col(doc_id).alias("__drop")).distinct()
-    bits = member_bits(dropped, F.col("__drop"))
-    split = marked(docs, bits, "__maybe", F.col(f"`{doc_id}`"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    sure = split.filter(~F.col("__maybe")).select(columns)
-    rest = split.filter("__maybe").join(dropped, F.col(f"`{doc_id}`") == F.col("__drop"), "left_anti").select(columns)
-    return sure.unionByName(rest)
+    boxed = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.struct("*").alias("__row"))
+    split = marked(boxed, member_bits(dropped, F.col("__drop")), "__maybe", F.col("__id"))
+    rest = split.filter("__maybe").join(dropped, F.col("__id") == F.col("__drop"), "left_anti")
+    return split.filter(~F.col("__maybe")).select("__row.*").unionByName(rest.select("__row.*"))
