@@ -202,7 +202,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """One row per document of the files: doc_id, start (ids of all documents before it), n_tokens and ids (32-bit little-endian)."""
+    """One row per document of the files: doc_id, start (ids of all documents before it), n_tokens and ids (32-bit little-endian).
+
+    Where each file begins is one row per file, and there are no more files than the
+    writing session had shuffle partitions, so that this small table is broadcast and
+    the ids are not shuffled.
+    """
     blocks = spark.read.parquet(path)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     totals = blocks.groupBy("file").agg(F.max(F.col("first") + F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("total"))
@@ -210,4 +215,4 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     rows = blocks.select("file", "first", "symbols", "packed", "doc_ids", "counts").mapInArrow(
         _read, f"doc_id {kind}, file long, place long, n_tokens long, ids binary"
     )
-    return rows.join(before, "file").select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(before), "file").select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids")
