@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.weeks import month_of, weeks_between
 from tidemark.operators.churn import with_top_segments
-from tidemark.operators.relational import active_only, any_present, largest, numeric_columns
+from tidemark.operators.relational import active_only, any_present, is_active, largest, numeric_columns
 from tidemark.operators.scale import exact_quantiles, ranked_values, scalars
 
 DURATION_EDGES = (13, 26, 52, 104)
@@ -25,6 +25,14 @@ def weekly_totals(df: DataFrame, metrics: list[str], week: str = "yyyywk") -> Da
     return df.dropna(subset=[week]).groupBy(week).agg(*[F.sum(m).alias(m) for m in metrics])
 
 
+def weekly_activity(
+    df: DataFrame, metrics: list[str], week: str = "yyyywk", key: str = "account_id", flag: str = "churned_flag"
+) -> DataFrame:
+    """Weekly totals and active accounts of rows that are unique per account and week, in one grouping."""
+    active = F.count_if(is_active(flag) & F.col(key).isNotNull()).alias("active_customers")
+    return df.dropna(subset=[week]).groupBy(week).agg(*[F.sum(m).alias(m) for m in metrics], active)
+
+
 def weekly_metric_stats(df: DataFrame, metric: str, week: str = "yyyywk") -> DataFrame:
     """Sum, mean and count of known values per week; a week without any has NULL and is left out."""
     stats = df.dropna(subset=[week]).groupBy(week).agg(

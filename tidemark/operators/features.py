@@ -17,7 +17,7 @@ from tidemark.operators.relational import (
 )
 
 METRICS = ["documents_opened", "storage_mb", "revline_total", "amount_due", "functional_amount"]
-STATIC_COLUMNS = ["delinquency", "business_risk", "payment_rating", "line_items"]
+STATIC_COLUMNS = ["risk_score", "delinquency", "business_risk", "payment_rating", "line_items"]
 TRAIN_STATIC = [*STATIC_COLUMNS, "lifespan_months", "days_to_churn"]
 LIVE_STATIC = [*STATIC_COLUMNS, "days_elapsed", "months_elapsed"]
 

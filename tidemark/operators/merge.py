@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions.coerce import nan_to_null
 from tidemark.functions.text import canonical_list
 from tidemark.functions.weeks import as_column, earliest, months_between_30, days_between, week_midpoint
 from tidemark.operators.relational import (
@@ -76,11 +77,11 @@ def clean_usage(usage: DataFrame, since: str = "2020-01-01", mode: str = "column
 def sum_by_key_date(df: DataFrame, key: str, date: str, metrics: list[str] | None = None) -> DataFrame:
     """Sums per key and date of the listed metrics, or of all numeric columns.
 
-    Without any numeric column the rows are counted.  All-NULL metrics sum to 0;
-    rows with a NULL key or date drop out.
+    Without any numeric column the rows are counted.  NaN counts as NULL; all-NULL
+    metrics sum to 0; rows with a NULL key or date drop out.
     """
     chosen = numeric_columns(df, exclude=(key, date)) if metrics is None else metrics
-    grouped = df.dropna(subset=[key, date]).groupBy(key, date)
+    grouped = nan_to_null(df).dropna(subset=[key, date]).groupBy(key, date)
     if not chosen:
         return grouped.agg(F.count(F.lit(1)).alias("count"))
     return grouped.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in chosen])
@@ -129,48 +130,56 @@ def financial_timeline(b: Bundle) -> DataFrame:
     )
 
 
-def _dated_parts(b: Bundle, usage: DataFrame) -> list[DataFrame]:
-    """Every source as rows of (account, day, its own columns), ready to be stacked.
+#: The one metric of each source that weekly features are made of.
+STANDARD_METRICS = {"payment": ["functional_amount"], "revenue": ["revline_total"], "txn": ["amount_due"]}
 
-    ``_slot`` keeps usage of an unreadable week apart, row by row; ``_dated``
-    marks what does not come from usage.
-    """
 
-    def facts(df: DataFrame, key: str, date: str, metric: str) -> DataFrame:
-        known = df.distinct().dropna(subset=[key, date])
-        return known.select(F.col(key).alias("account_id"), F.col(date).alias("month"), date, metric, F.lit(True).alias("_dated"))
+def _dated_parts(b: Bundle, usage: DataFrame, metrics: dict[str, list[str]] | None) -> list[DataFrame]:
+    """Every source as rows of (account, day, its own columns), ready to be stacked.
 
-    lines = b.contract_line.select("account_id", F.col("line_start").alias("month"), "line_start", F.lit(True).alias("_dated"))
-    weeks = usage.withColumn("usage_month", week_midpoint("yyyywk")).withColumns(
+    Facts are summed per account and day.  Repeated fact rows count once; dealing rows
+    by account and day serves both the search for repeats and the sum, so raw facts
+    are shuffled once.  A metric that an earlier source has too gets its source's name
+    in front.  ``_slot`` keeps usage of an unreadable week apart, row by row;
+    ``_dated`` marks what does not come from usage.
+    """
+    taken: set[str] = set(usage.columns) | {"account_id", "month", "line_start"}
+
+    def facts(source: str, df: DataFrame, key: str, date: str) -> DataFrame:
+        chosen = numeric_columns(df, exclude=(key, date)) if metrics is None else metrics[source]
+        rows = df.select(key, date, *[c for c in df.columns if c not in (key, date)]).repartition(key, date).distinct()
+        summed = sum_by_key_date(rows, key, date, chosen)
+        names = {c: f"{source}_{c}" if c in taken else c for c in summed.columns if c not in (key, date)}
+        taken.update(names.values())
+        columns = [F.col(c).alias(n) for c, n in names.items()]
+        return summed.select(F.col(key).alias("account_id"), F.col(date).alias("month"), date, *columns, F.lit(True).alias("_dated"))
+
+    lines = b.contract_line.select("account_id", F.col("line_start").alias("month"), "line_start", F.lit(True).alias("_dated")).distinct()
+    weeks = nan_to_null(usage).withColumn("usage_month", week_midpoint("yyyywk")).withColumns(
         {"month": F.col("usage_month"), "_slot": F.when(F.col("usage_month").isNull(), F.col("yyyywk"))}
     )
     return [
-        facts(b.payment, "customer_no", "receipt_date", "functional_amount"),
-        facts(b.revenue, "account_id", "invoice_date", "revline_total"),
-        facts(b.txn, "account_number", "trx_date", "amount_due"),
+        facts("payment", b.payment, "customer_no", "receipt_date"),
+        facts("revenue", b.revenue, "account_id", "invoice_date"),
+        facts("txn", b.txn, "account_number", "trx_date"),
         lines,
         weeks,
     ]
 
 
-SUMMED = {"functional_amount": "receipt_date", "revline_total": "invoice_date", "amount_due": "trx_date"}
-
-
-def timeline(b: Bundle, since: str) -> DataFrame:
+def timeline(b: Bundle, since: str, metrics: dict[str, list[str]] | None = None) -> DataFrame:
     """All dated sources of the known accounts side by side, one row per account and day.
 
     Each source has at most one row per account and day once its facts are
     summed, so the chain of full outer joins on account and day is the same as
-    stacking the sources and grouping once: one shuffle, combined beforehand,
-    instead of one per join.
+    stacking the sources and grouping once: one shuffle of small rows instead of
+    one per join.  ``metrics`` lists what to sum per source; without it, all
+    numeric columns are summed.
     """
-    parts = _dated_parts(b, clean_usage(b.usage, since))
+    parts = _dated_parts(b, clean_usage(b.usage, since), metrics)
     stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
-    rest = [c for c in stacked.columns if c not in ("account_id", "month", "_slot", *SUMMED)]
-    sums = [
-        F.when(F.max(date).isNotNull(), F.coalesce(F.sum(metric), F.lit(0.0))).alias(metric) for metric, date in SUMMED.items()
-    ]
-    grouped = stacked.groupBy("account_id", "month", "_slot").agg(*sums, *[F.max(c).alias(c) for c in rest]).drop("_slot")
+    rest = [c for c in stacked.columns if c not in ("account_id", "month", "_slot")]
+    grouped = stacked.groupBy("account_id", "month", "_slot").agg(*[F.max(c).alias(c) for c in rest]).drop("_slot")
     return grouped.join(b.account.select("account_id"), "account_id", "left_semi")
 
 
@@ -187,9 +196,18 @@ def _lifetime(merged: DataFrame, as_of: str | None) -> DataFrame:
 ROW_DATES = ("receipt_date", "invoice_date", "trx_date", "line_start", "coverage_start")
 
 
-def merge_sources(b: Bundle, since: str = "2020-01-01", renewals: str = "bounds", as_of: str | None = None) -> DataFrame:
+def merge_sources(
+    b: Bundle,
+    since: str = "2020-01-01",
+    renewals: str = "bounds",
+    as_of: str | None = None,
+    metrics: dict[str, list[str]] | None = None,
+) -> DataFrame:
     """All sources of a bundle aligned on account and date.
 
+    Of payments, revenue and transactions all numeric columns are summed, or those
+    that ``metrics`` lists per source.
+
     ``renewals='rows'`` repeats every row for each renewal of its account.
     ``'bounds'`` carries one row of renewal bounds instead, which leaves all
     later results the same and cannot blow up on an account with many renewals.
@@ -200,7 +218,7 @@ def merge_sources(b: Bundle, since: str = "2020-01-01", renewals: str = "bounds"
     """
     accounts = b.account.select("account_id")
     covers = b.renewal.distinct().withColumnRenamed("bill_to", "account_id")
-    dated = timeline(b, since)
+    dated = timeline(b, since, metrics)
     if renewals == "rows":
         cover = with_bounds(covers, "account_id", "coverage_start", "coverage_end", "renewal").drop("coverage_end")
     else:

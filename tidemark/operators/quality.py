@@ -299,8 +299,8 @@ def coercion_totals(reports: DataFrame) -> DataFrame:
 # --- reports ------------------------------------------------------------------------------
 
 
-def query_profile(df: DataFrame, first: int = 10) -> DataFrame:
-    """Rows, NULLs and distinct values of the leading columns of a query result."""
+def query_profile(df: DataFrame, first: int | None = None) -> DataFrame:
+    """Rows, NULLs and distinct values of a query result's columns, or of its ``first`` ones."""
     lead = df.select(*df.columns[:first])
     facts = column_facts(lead)
     dtypes = _lookup({f.name: f.dataType.simpleString() for f in lead.schema})

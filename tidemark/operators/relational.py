@@ -33,8 +33,8 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema if is_numeric(f.dataType) and f.name not in exclude]
 
 
-def metric_columns(df: DataFrame, priority: list[str], exclude: tuple[str, ...], limit: int = 9) -> list[str]:
-    """Numeric columns to report on: prioritised ones first, at most ``limit``."""
+def metric_columns(df: DataFrame, priority: list[str], exclude: tuple[str, ...], limit: int | None = None) -> list[str]:
+    """Numeric columns to report on, prioritised ones first; all of them unless a ``limit`` is asked for."""
     numeric = numeric_columns(df, exclude)
     first = [c for c in priority if c in numeric]
     return (first + [c for c in numeric if c not in first])[:limit]
@@ -71,17 +71,29 @@ def since_year(df: DataFrame, year: int, week: str = "yyyywk") -> DataFrame:
     return df.where(F.col(week) >= year * 100 + 1)
 
 
+def is_churned(flag: str = "churned_flag") -> Column:
+    return F.col(flag) == 1
+
+
+def is_active(flag: str = "churned_flag") -> Column:
+    return F.col(flag) == 0
+
+
+def is_not_churned(flag: str = "churned_flag") -> Column:
+    """``flag <> 1`` with SQL NULL logic: NULL without a flag."""
+    return F.col(flag) != 1
+
+
 def churned_only(df: DataFrame, flag: str = "churned_flag") -> DataFrame:
-    return df.where(F.col(flag) == 1)
+    return df.where(is_churned(flag))
 
 
 def active_only(df: DataFrame, flag: str = "churned_flag") -> DataFrame:
-    return df.where(F.col(flag) == 0)
+    return df.where(is_active(flag))
 
 
 def not_churned(df: DataFrame, flag: str = "churned_flag") -> DataFrame:
-    """``flag <> 1`` with SQL NULL logic: rows without a flag drop out."""
-    return df.where(F.col(flag) != 1)
+    return df.where(is_not_churned(flag))
 
 
 def members_of(df: DataFrame, keys: DataFrame, on: str, key: str | None = None) -> DataFrame:

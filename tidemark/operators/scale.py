@@ -47,7 +47,8 @@ def ranked_values(df: DataFrame, value: str, by: list[str] | None = None, counte
     by = list(by or [])
     counts = df if counted else value_counts(df, value, by)
     v = F.col(value).cast("double")
-    coarse = counts.withColumn("_c", F.floor(F.signum(v) * F.log1p(F.abs(v)) * 64).cast("int"))
+    # Infinities get the outermost slots, which no finite value reaches.
+    coarse = counts.withColumn("_c", F.floor(F.signum(v) * F.least(F.log1p(F.abs(v)) * 64, F.lit(60_000.0))).cast("int"))
     slots = coarse.groupBy(*by, "_c").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.sum("n").alias("_cn"))
     whole = W.partitionBy(*by)
     slots = slots.select(
@@ -90,7 +91,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list
     for name, p in probs.items():
         spot = (F.col("_total") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        out.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(name))
+        between = spot - F.floor(spot)
+        out.append(F.when((lo == hi) | (between == 0), lo).otherwise(lo + (hi - lo) * between).alias(name))
     return picked.select(*by, *out)
 
 

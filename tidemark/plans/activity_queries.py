@@ -40,7 +40,12 @@ add(
 )
 add(
     "weekly_active_approx", "A26",
-    lambda t: longs(A.weekly_active(t.weekly, approx=True)),
+    lambda t: longs(
+        A.weekly_active(t.weekly).join(A.weekly_active(t.weekly, approx=True).withColumnRenamed("active_customers", "about"), "yyyywk").select(
+            "yyyywk", "active_customers", (F.abs(F.col("about") - F.col("active_customers")) <= 1 + 0.2 * F.col("active_customers")).alias("close")
+        )
+    ),
+    """SELECT yyyywk::BIGINT AS yyyywk, count(DISTINCT account_id) FILTER (WHERE churned_flag = 0) AS active_customers, true AS close FROM weekly GROUP BY 1""",
 )
 add(
     "weekly_overview", "A24 A27 P10",

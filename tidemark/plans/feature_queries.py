@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import activity, features, split
-from tidemark.operators.merge import merge_sources
+from tidemark.operators.merge import STANDARD_METRICS, merge_sources
 from tidemark.operators.relational import active_only, churned_only
 from tidemark.plans.expression_queries import monday_sql
 from tidemark.plans.inputs import START, Inputs, week_sql
@@ -32,7 +32,7 @@ def weekly_shown(df: DataFrame) -> DataFrame:
 
 add(
     "weekly_features", "PL5 A4 D16 P7 P8",
-    lambda t: weekly_shown(features.weekly_features(merge_sources(t.bundle, START), START)),
+    lambda t: weekly_shown(features.weekly_features(merge_sources(t.bundle, START, metrics=STANDARD_METRICS), START)),
     f"WITH {MERGED}, {WEEKLY} SELECT {SHOW_WEEKLY} FROM feats",
 )
 add(
@@ -54,7 +54,7 @@ def static_sql(fill: bool, extra: list[str], source: str) -> str:
     items = first("line_items")
     items = f"coalesce({items}, 'NA')" if fill else items
     others = "".join(f", round({first(c)}, 4) AS {c}" for c in extra)
-    return f"SELECT account_id, round({first('delinquency')}, 4) AS delinquency, {cats}, {STRIPPED.format(items)} AS line_items{others} FROM {source} GROUP BY 1"
+    return f"SELECT account_id, round({first('risk_score')}, 4) AS risk_score, round({first('delinquency')}, 4) AS delinquency, {cats}, {STRIPPED.format(items)} AS line_items{others} FROM {source} GROUP BY 1"
 
 
 STATIC = static_sql(True, ["lifespan_months", "days_to_churn"], "merged")
@@ -103,13 +103,13 @@ add(
 )
 META = "meta AS (SELECT DISTINCT account_id, account_name, churned_flag::BIGINT AS churned_flag, churn_date, segment, segment_level FROM account)"
 TRAINING = f"""WITH {MERGED}, {WEEKLY}, {GUARD}, st AS ({STATIC}), ro AS ({ROLLUP_SQL.format('guarded')}), {META}
-    SELECT account_id, delinquency, business_risk, payment_rating, st.line_items, round(lifespan_months, 4) AS lifespan_months, documents_opened_sum,
+    SELECT account_id, round(risk_score, 4) AS risk_score, delinquency, business_risk, payment_rating, st.line_items, round(lifespan_months, 4) AS lifespan_months, documents_opened_sum,
         documents_opened_mean, storage_mb_sum, storage_mb_max, total_weeks, usage_duration_weeks, account_name, churned_flag, churn_date, segment, segment_level
     FROM st FULL JOIN ro USING (account_id) LEFT JOIN meta USING (account_id)"""
 add(
     "training_table", "A9 J6 PL1",
     lambda t: rollup_shown(training_load(t.bundle, START).table).select(
-        "account_id", F.round("delinquency", 4).alias("delinquency"), "business_risk", "payment_rating", "line_items", F.round("lifespan_months", 4).alias("lifespan_months"),
+        "account_id", F.round("risk_score", 4).alias("risk_score"), F.round("delinquency", 4).alias("delinquency"), "business_risk", "payment_rating", "line_items", F.round("lifespan_months", 4).alias("lifespan_months"),
         "documents_opened_sum", "documents_opened_mean", "storage_mb_sum", "storage_mb_max", "total_weeks", "usage_duration_weeks",
         "account_name", "churned_flag", "churn_date", "segment", "segment_level",
     ),

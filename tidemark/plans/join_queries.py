@@ -9,15 +9,13 @@ from tidemark.functions.text import jaro_winkler
 from tidemark.functions.weeks import date_to_week
 from tidemark.operators import match, merge
 from tidemark.operators import relational as R
-from tidemark.operators.activity import weekly_active, weekly_totals
+from tidemark.operators.activity import weekly_activity
 from tidemark.plans.inputs import START, Inputs, week_sql
 from tidemark.plans.registry import add, longs, rounded, shown
 
 add(
     "weekly_order_activity", "D6 A24 A26",
-    lambda t: shown(
-        weekly_totals(orders_weekly(t), ["orders", "amount"]).join(weekly_active(orders_weekly(t)), "yyyywk"), 2
-    ),
+    lambda t: shown(weekly_activity(orders_weekly(t), ["orders", "amount"]), 2),
     f"""SELECT {week_sql('o_orderdate')}::BIGINT AS yyyywk, count(*) AS orders, round(sum(o_totalprice), 2) AS amount,
         count(DISTINCT CASE WHEN churned_flag = 0 THEN account_id END) AS active_customers
         FROM ord JOIN account ON account_id = o_custkey GROUP BY 1""",
@@ -49,6 +47,16 @@ add(
     ),
     "SELECT round(sum(s_acctbal), 2) AS s_acctbal, sum(s_nationkey)::DOUBLE AS s_nationkey FROM supplier",
 )
+add(
+    "all_metric_columns", "P1",
+    lambda t: rounded(
+        t.raw("lineitem").join(t.raw("part"), F.col("l_partkey") == F.col("p_partkey")).join(t.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).transform(
+            lambda df: df.agg(*[F.sum(c).cast("double").alias(c) for c in R.metric_columns(df, ["l_tax"], ("l_partkey", "l_suppkey"))])
+        ), 1
+    ),
+    f"""SELECT {", ".join(f"round(sum({c})::DOUBLE, 1) AS {c}" for c in ("l_tax", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "p_partkey", "p_size", "p_retailprice", "s_suppkey", "s_nationkey", "s_acctbal"))}
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey""",
+)
 add(
     "date_and_week_floors", "P4 P7",
     lambda t: longs(
@@ -60,11 +68,11 @@ add(
 )
 add(
     "flag_filters", "P5",
-    lambda t: t.account.agg(F.count(F.lit(1)).alias("total")).select(
-        "total",
-        R.churned_only(t.account).agg(F.count(F.lit(1))).scalar().alias("churned"),
-        R.active_only(t.account).agg(F.count(F.lit(1))).scalar().alias("active"),
-        R.not_churned(t.account).agg(F.count(F.lit(1))).scalar().alias("not_churned"),
+    lambda t: t.account.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(R.is_churned()).alias("churned"),
+        F.count_if(R.is_active()).alias("active"),
+        F.count_if(R.is_not_churned()).alias("not_churned"),
     ),
     """SELECT count(*) AS total, count(*) FILTER (WHERE churned_flag = 1) AS churned, count(*) FILTER (WHERE churned_flag = 0) AS active,
         count(*) FILTER (WHERE churned_flag <> 1) AS not_churned FROM account""",
@@ -273,11 +281,29 @@ def merged_shown(df: DataFrame) -> DataFrame:
     )
 
 
-add("merged_sources", "PL4 J1 J2 J3 J4 J5 W2 T2", lambda t: merged_shown(merge.merge_sources(t.bundle, START)), f"WITH {MERGED} {MERGED_OUT}")
+add("merged_sources", "PL4 J1 J2 J3 J4 J5 W2 T2", lambda t: merged_shown(merge.merge_sources(t.bundle, START, metrics=merge.STANDARD_METRICS)), f"WITH {MERGED} {MERGED_OUT}")
+add(
+    "merged_sources_all_metrics", "PL4 A1",
+    lambda t: longs(
+        merge.merge_sources(t.bundle, START).where(F.coalesce("receipt_date", "invoice_date", "trx_date").isNotNull()).select(
+            "account_id", "month", F.round("entered_amount", 2).alias("entered_amount"), F.round("functional_amount", 2).alias("functional_amount"),
+            "receipt_id", "invoice_number", F.round("revline_total", 4).alias("revline_total"), F.round("amount_due", 2).alias("amount_due"), "txn_id",
+        )
+    ),
+    """WITH p AS (SELECT customer_no AS account_id, receipt_date AS month, sum(entered_amount) AS entered_amount, sum(functional_amount) AS functional_amount,
+            sum(receipt_id)::BIGINT AS receipt_id FROM (SELECT DISTINCT * FROM payment) GROUP BY 1, 2),
+        r AS (SELECT account_id, invoice_date AS month, sum(invoice_number)::BIGINT AS invoice_number, sum(revline_total) AS revline_total
+            FROM (SELECT DISTINCT * FROM revenue) GROUP BY 1, 2),
+        x AS (SELECT account_number AS account_id, trx_date AS month, sum(amount_due) AS amount_due, sum(txn_id)::BIGINT AS txn_id
+            FROM (SELECT DISTINCT * FROM txn) GROUP BY 1, 2)
+        SELECT account_id, month, round(entered_amount, 2) AS entered_amount, round(functional_amount, 2) AS functional_amount, receipt_id, invoice_number,
+            round(revline_total, 4) AS revline_total, round(amount_due, 2) AS amount_due, txn_id
+        FROM p FULL JOIN r USING (account_id, month) FULL JOIN x USING (account_id, month)""",
+)
 add(
     "merged_sources_every_renewal", "PL4 J5 T12",
     lambda t: longs(
-        merge.merge_sources(t.bundle, START, renewals="rows").groupBy("account_id").agg(
+        merge.merge_sources(t.bundle, START, renewals="rows", metrics=merge.STANDARD_METRICS).groupBy("account_id").agg(
             F.count(F.lit(1)).alias("rows"), F.count_distinct("coverage_start").alias("renewals"), F.min("final_earliest_date").alias("earliest")
         )
     ),

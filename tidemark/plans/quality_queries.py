@@ -176,6 +176,14 @@ add(
         for c, k in (("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double"), ("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int"))
     ),
 )
+add(
+    "query_profile_all_columns", "V10",
+    lambda t: V.query_profile(t.raw("orders").join(t.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))).select("column", "rows", "nulls", "n_unique"),
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS n_unique FROM orders JOIN customer ON o_custkey = c_custkey"""
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    ),
+)
 add(
     "dtype_histogram", "V10",
     lambda t: V.dtype_histogram(t.raw("part")),

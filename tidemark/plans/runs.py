@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import features as X
-from tidemark.operators.merge import Bundle, merge_sources, timeline
+from tidemark.operators.merge import STANDARD_METRICS, Bundle, merge_sources
 from tidemark.operators.relational import drop_existing
 
 
@@ -25,11 +26,15 @@ class Load:
     features: DataFrame
 
 
+def kept(merged: DataFrame) -> DataFrame:
+    """The merge, computed once however many tables of a load are asked for; callers may ``unpersist`` it."""
+    return merged.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
     """All accounts; weeks after a churn are guarded out; statics hold the time to churn."""
-    merged = merge_sources(bundle, since)
-    # Weekly metrics need the dated sources only, not renewals or risk.
-    weekly = X.leak_guard(X.weekly_features(timeline(bundle, since), since), bundle.account)
+    merged = kept(merge_sources(bundle, since, metrics=STANDARD_METRICS))
+    weekly = X.leak_guard(X.weekly_features(merged, since), bundle.account)
     static = X.static_features(merged, X.TRAIN_STATIC)
     rollup = X.entity_rollup(weekly)
     metadata = X.account_metadata(bundle.account)
@@ -41,8 +46,8 @@ def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
 def live_load(bundle: Bundle, since: str = "2020-01-01", as_of: str = "2020-01-01") -> Load:
     """Accounts that have not churned; time is measured up to ``as_of``; nothing is filled in."""
     live = bundle.live()
-    merged = merge_sources(live, since, as_of=as_of)
-    weekly = X.weekly_features(timeline(live, since), since)
+    merged = kept(merge_sources(live, since, as_of=as_of, metrics=STANDARD_METRICS))
+    weekly = X.weekly_features(merged, since)
     static = X.static_features(merged, X.LIVE_STATIC, fill_missing=False)
     rollup = X.entity_rollup(weekly)
     metadata = drop_existing(X.account_metadata(live.account), ["churn_date"])
