@@ -17,13 +17,15 @@ and linked documents form components.
    the 32 bands with a probability of 0.000005, and 0.0000003 at 0.8.
 4. *Verification on full sets.*  The class that shares most buckets is a bucket's pivot,
    as a rule the text that the others are copies of.  Each class is compared with the
-   best of its pivots, then, in buckets that still hold several components, with every
-   pivot.  Classes of different components in such a bucket are left; of each, its
-   overlap b with the pivot is known.  Two sets of n and m shingles can only be linked
-   if min(b, b') is large enough for n + m, which ranges of size find, or if they share
-   shingles that the pivot lacks, which a join on those finds and counts.  Pairs that either
-   way leaves open are compared.  So no bucket is cut off and no partner left out, yet of a
-   large group of copies around one text only those pairs meet that changed alike.
+   best of its pivots.  Buckets that then still hold several components get one
+   reference, the best pivot of their largest component, and each of their classes is
+   compared with it.  Classes of different components in such a bucket are left; of each,
+   its overlap b with the reference is known.  Two sets of n and m shingles can only be
+   linked if min(b, b') is large enough for n + m, which ranges of size find, or if they
+   share shingles that the reference lacks, which a join on those finds and counts.  Pairs
+   that either way leaves open are compared.  So no bucket is cut off and no partner left
+   out, yet of a large group of copies around one text only those pairs meet that changed
+   alike.
 
 Rows of a hot class or bucket are combined before the shuffle or split by Spark in
 joins.  Nothing is collected to the driver but the counts of what is left to do.
@@ -154,6 +156,16 @@ def _labelled(members: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     return members.join(found, column, "left").withColumn("component", F.coalesce("__found", column)).drop("__found")
 
 
+def _with_references(members: DataFrame, degrees: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members (key, x) of open buckets with their bucket's reference as ``pivot``."""
+    known = _open(members.select("key", "x"), labels)
+    centres = _labelled(degrees, labels, "x").groupBy("component").agg(F.max(F.struct("degree", "x")).alias("__centre"))
+    sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("__in"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("__in", "component")).alias("__most")).select("key", "__most.component")
+    references = settled(largest.join(centres, "component").select("key", F.col("__centre.x").alias("pivot")))
+    return settled(known.select("key", "x").join(references, "key"))
+
+
 #: Sizes in one class differ by less than this factor.
 SIZE_CLASS = 1.04
 
@@ -239,7 +251,7 @@ def near_components(
         .join(members.select(F.col("x").alias("__id")).distinct(), "__id", "left_semi")
         .dropDuplicates(["__id"])
     )
-    degrees = members.groupBy("x").agg(F.sum("__in").alias("degree"))
+    degrees = settled(members.groupBy("x").agg(F.sum("__in").alias("degree")))
     ranked = members.select("key", "x").join(degrees, "x")
     pivots = settled(ranked.groupBy("key").agg(F.max(F.struct("degree", "x")).alias("__best")).select("key", "__best.*").withColumnRenamed("x", "pivot"))
     members = settled(members.select("key", "x").join(pivots, "key"))
@@ -247,8 +259,8 @@ def near_components(
     known = settled(_overlaps(_ordered(best.select("x", F.col("__best.pivot").alias("y"))), sets))
     labels = components(known.filter(_enough(F.col("both"), percent)))
 
-    wanted = _ordered(_open(members, labels).select("x", F.col("pivot").alias("y")))
-    known = known.union(settled(_overlaps(wanted.join(known, ["x", "y"], "left_anti"), sets)))
+    members = _with_references(members, degrees, labels)
+    known = known.union(settled(_overlaps(_ordered(members.select("x", F.col("pivot").alias("y"))).join(known, ["x", "y"], "left_anti"), sets)))
     labels = components(known.filter(_enough(F.col("both"), percent)))
 
     around = _open(members, labels).select("pivot", "x", "component").distinct()
