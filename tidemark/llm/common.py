@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path, shared_dir
+from tidemark.session import scratch_path
 
 #: 64-bit words of a membership filter: 2**18 words are 16 million bits, a few MB as a broadcast table.
 FILTER_WORDS = 1 << 18
@@ -18,23 +18,19 @@ FILTER_WORDS = 1 << 18
 SLICE_BYTES = 2 << 20
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The frame read back from the shared checkpoint folder, its lineage cut.
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written as a table in the shared folder and read back: its lineage is cut and its size known.
 
-    The folder is the one ``spark.checkpoint.dir`` names; a local session without
-    the setting gets one of its own.
+    A checkpoint would carry over the size that was estimated for the plan behind it, and
+    in a loop of joins such estimates grow without bound.
     """
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame written as a table in the shared folder and read back: compressed, and pruned by column when read."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    return written(df, "step")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -19,11 +19,14 @@ and linked documents form components.
    as a rule the text that the others are copies of.  Each class is compared with the
    best of its pivots.  Buckets that then still hold several components get one
    reference, the best pivot of their largest component, and each of their classes is
-   compared with it.  Classes of different components in such a bucket are left; of each,
+   compared with it; those outside that component also with the next best ones.
+   Classes of different components in such a bucket are left; of each,
    its overlap b with the reference is known.  Two sets of n and m shingles can only be
    linked if min(b, b') is large enough for n + m, which ranges of size find, or if they
-   share shingles that the reference lacks, which a join on those finds and counts.  Pairs
-   that either way leaves open are compared.  So no bucket is cut off and no partner left
+   share shingles that the reference lacks, which a join on those finds and counts.
+   Shingles of that kind with many owners are added to the reference before, so that each
+   class meets few others by each of the rest.  Pairs that either way leaves open are
+   compared.  So no bucket is cut off and no partner left
    out, yet of a large group of copies around one text only those pairs meet that changed
    alike.
 
@@ -48,7 +51,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import marked, member_bits, settled, slices
 from tidemark.llm.shingles import GOLDEN, MIX_1, distinct_shingles, mixed
 
-BINS, ROWS, SIZE, PERCENT = 128, 4, 5, 75
+BINS, ROWS, SIZE, PERCENT, REFERENCES = 128, 4, 5, 75, 3
 
 
 def _salt(i: int) -> np.uint64:
@@ -157,25 +160,39 @@ def _labelled(members: DataFrame, labels: DataFrame, column: str) -> DataFrame:
 
 
 def _with_references(members: DataFrame, degrees: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members (key, x) of open buckets with their bucket's reference as ``pivot``."""
+    """The members (key, x, component) of open buckets, with the component that most of the bucket's are in as ``main`` and its centre as ``pivot``."""
     known = _open(members.select("key", "x"), labels)
     centres = _labelled(degrees, labels, "x").groupBy("component").agg(F.max(F.struct("degree", "x")).alias("__centre"))
     sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("__in"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("__in", "component")).alias("__most")).select("key", "__most.component")
-    references = settled(largest.join(centres, "component").select("key", F.col("__centre.x").alias("pivot")))
-    return settled(known.select("key", "x").join(references, "key"))
+    references = settled(largest.join(centres, "component").select("key", F.col("component").alias("main"), F.col("__centre.x").alias("pivot")))
+    return settled(known.select("key", "x", "component").join(references, "key"))
 
 
 #: Sizes in one class differ by less than this factor.
 SIZE_CLASS = 1.04
 
 
+#: Shingles that more classes around a reference have are counted as part of the reference.
+FREQUENT = 32
+
+
 def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes around a pivot that can still be linked.
+    """Pairs of classes around a reference that can still be linked.
 
-    Members are (pivot, x, component, n, b), b the overlap with the pivot.  One side of a
-    pair is outside the pivot's largest component.
+    Members are (pivot, x, component, n, b), b the overlap with the reference.  What the
+    reference lacks but many members have is added to it, so every other shingle has few
+    owners.  One side of a pair is outside the reference's largest component.
     """
+    own = members.select("pivot", "x").join(sets.select(F.col("__id").alias("x"), F.col("__set").alias("__x")), "x")
+    own = own.join(sets.select(F.col("__id").alias("pivot"), F.col("__set").alias("__p")), "pivot")
+    own = settled(own.select("pivot", "x", F.explode(F.array_except("__x", "__p")).alias("shingle")))
+    owners = own.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("__owners")).filter("__owners > 1")
+    own = settled(own.join(owners, ["pivot", "shingle"]))
+    added = own.filter(F.col("__owners") > FREQUENT).groupBy("pivot", "x").agg(F.count(F.lit(1)).alias("__added"))
+    rare = own.filter(F.col("__owners") <= FREQUENT).drop("__owners")
+    members = settled(members.join(added, ["pivot", "x"], "left").withColumn("b", F.col("b") + F.coalesce("__added", F.lit(0))).drop("__added"))
+
     sizes = members.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("__in"))
     largest = settled(sizes.groupBy("pivot").agg(F.max(F.struct("__in", "component")).alias("__most")))
     a = settled(members.join(largest, "pivot").filter(F.col("component") != F.col("__most.component")).drop("__most"))
@@ -193,13 +210,8 @@ def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     by_size = ranges.join(b.withColumn("class", size_class(F.col("nb"))), ["pivot", "class"])
     by_size = by_size.filter((F.col("ca") != F.col("cb")) & _enough(inside, percent)).select("x", "y")
 
-    own = members.join(sets.select(F.col("__id").alias("x"), F.col("__set").alias("__x")), "x")
-    own = own.join(sets.select(F.col("__id").alias("pivot"), F.col("__set").alias("__p")), "pivot")
-    own = settled(own.select("pivot", "x", F.explode(F.array_except("__x", "__p")).alias("shingle")))
-    left = own.join(a, ["pivot", "x"])
-    right = own.withColumnRenamed("x", "y").join(b, ["pivot", "y"])
-    met = left.join(right, ["pivot", "shingle"]).filter(F.col("ca") != F.col("cb"))
-    counts = met.groupBy("pivot", "x", "y", "na", "nb", "ba", "bb").agg(F.count(F.lit(1)).alias("__outside"))
+    met = rare.join(a, ["pivot", "x"]).join(rare.withColumnRenamed("x", "y").join(b, ["pivot", "y"]), ["pivot", "shingle"])
+    counts = met.filter(F.col("ca") != F.col("cb")).groupBy("pivot", "x", "y", "na", "nb", "ba", "bb").agg(F.count(F.lit(1)).alias("__outside"))
     by_shingle = counts.filter(_enough(inside + F.col("__outside"), percent)).select("x", "y")
     return by_size.union(by_shingle)
 
@@ -223,6 +235,7 @@ def near_components(
     percent: int = PERCENT,
     bins: int = BINS,
     rows: int = ROWS,
+    references: int = REFERENCES,
 ) -> DataFrame:
     """One row per row of ``docs``: the id, n_shingles, component_id (the least id reachable) and kept."""
     source = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
@@ -263,7 +276,15 @@ def near_components(
     known = known.union(settled(_overlaps(_ordered(members.select("x", F.col("pivot").alias("y"))).join(known, ["x", "y"], "left_anti"), sets)))
     labels = components(known.filter(_enough(F.col("both"), percent)))
 
-    around = _open(members, labels).select("pivot", "x", "component").distinct()
+    for _ in range(references - 1):
+        degrees = degrees.join(members.select(F.col("pivot").alias("x")).distinct(), "x", "left_anti")
+        apart = _with_references(members, degrees, labels).filter("component <> main")
+        wanted = settled(_ordered(apart.select("x", F.col("pivot").alias("y"))).join(known, ["x", "y"], "left_anti"))
+        known = known.union(settled(_overlaps(wanted, sets)))
+        labels = components(known.filter(_enough(F.col("both"), percent)))
+        degrees = degrees.join(apart.select(F.col("pivot").alias("x")).distinct(), "x", "left_anti")
+
+    around = _open(members.select("key", "x", "pivot"), labels).select("pivot", "x", "component").distinct()
     either = known.select("x", F.col("y").alias("pivot"), F.col("na").alias("n"), F.col("both").alias("b"))
     either = either.union(known.select("y", "x", "nb", "both"))
     itself = sets.select(F.col("__id").alias("x"), F.col("__id").alias("pivot"), F.size("__set").alias("n"), F.size("__set").alias("b"))
