@@ -7,9 +7,10 @@ the agenda are the n best segmentations in order, and nothing beyond them is exp
 
 No piece has a space behind another character, and none has other white space, so the
 lattice of a text falls apart behind every word.  Words with the space before them are
-searched once per process; the n best of a whole text follow from the words' score
-losses: the least ``n`` sums of at most one loss per word, for which the n - 1 words with
-the least first losses are enough.  Scores are the vocabulary's; a character of no
+looked at once per process, for their best segmentation and how much worse the next
+one is (forward and backward scores tell).  The n best of a whole text are the least
+``n`` sums of at most one loss per word, for which the n - 1 words with the least first
+losses are enough; A* finds those words' n best.  Scores are the vocabulary's; a character of no
 piece becomes its UTF-8 bytes' pieces at a fixed penalty.
 
 NULL and empty texts have no pieces, one segmentation and score 0.  Texts are encoded
@@ -38,6 +39,7 @@ SPACE, BEST = "▁", 4
 PENALTY, OUT_OF_USE = 10.0, -1e8
 
 Way = tuple[float, tuple[int, ...]]  #: a segmentation's score and ids
+Edge = tuple[int, tuple[int, ...], float]  #: where a piece begins, its ids and its score
 
 
 class Lattice:
@@ -69,12 +71,11 @@ class Lattice:
         self.size = np.array([len(p) for p in plain], np.int64)
         self.begin = np.cumsum(self.size) - self.size
 
-    def n_best(self, text: str, n: int) -> list[Way]:
-        """The n best segmentations of a string whose spaces are written as the vocabulary's, best first."""
-        end = len(text)
+    def _edges(self, text: str) -> tuple[list[float], list[list[Edge]]]:
+        """The best score of every prefix, and the pieces that end at each place."""
+        end, starts = len(text), self.starts
         best = [0.0] + [-np.inf] * end
-        into: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(end + 1)]
-        starts = self.starts
+        into: list[list[Edge]] = [[] for _ in range(end + 1)]
         for i in range(end):
             here, single = best[i], False
             for j in range(i + 1, end + 1):
@@ -92,6 +93,42 @@ class Lattice:
                 ids = tuple(self.bytes[b] for b in text[i].encode())
                 into[i + 1].append((i, ids, self.unknown))
                 best[i + 1] = max(best[i + 1], here + self.unknown)
+        return best, into
+
+    def best(self, text: str) -> tuple[tuple[int, ...], float, float]:
+        """The best segmentation, its score, and how much worse the next one is.
+
+        Every other segmentation has a piece that the best one lacks, so the next one's
+        score is the best of a path through such a piece, from the scores of prefixes
+        and suffixes.
+        """
+        before, into = self._edges(text)
+        end, total = len(text), before[-1]
+        after = [-np.inf] * end + [0.0]
+        for j in range(end, 0, -1):
+            behind = after[j]
+            for i, _, score in into[j]:
+                if behind + score > after[i]:
+                    after[i] = behind + score
+        ids: list[tuple[int, ...]] = []
+        next_best, on = -np.inf, end
+        for j in range(end, 0, -1):
+            mine = None
+            for edge in into[j]:
+                through = before[edge[0]] + edge[2] + after[j]
+                if j == on and mine is None and before[edge[0]] + edge[2] == before[j]:
+                    mine = edge
+                elif through > next_best:
+                    next_best = through
+            if mine is not None:
+                ids.append(mine[1])
+                on = mine[0]
+        return tuple(k for part in reversed(ids) for k in part), total, total - next_best
+
+    def n_best(self, text: str, n: int) -> list[Way]:
+        """The n best segmentations of a string whose spaces are written as the vocabulary's, best first."""
+        end = len(text)
+        best, into = self._edges(text)
         found: list[Way] = []
         agenda: list[tuple] = [(-best[end], end, 0, 0.0, None)]
         pushed, left = 0, [n] * (end + 1)  # no place is left more than n times: worse endings can't be among the n best
@@ -129,8 +166,8 @@ def lattice(path: str) -> Lattice:
 class Segmenter:
     def __init__(self, path: str, n: int) -> None:
         self.lattice, self.n = lattice(path), n
-        self.known = Known(extras=n)
-        self.ways = lru_cache(maxsize=1 << 14)(lambda text: self.lattice.n_best(text, n))
+        self.known = Known(extras=2)
+        self.ways = lru_cache(maxsize=1 << 12)(lambda text: self.lattice.n_best(text, n))
 
     def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, float, list[tuple[float, list[tuple[int, int, tuple[int, ...]]]]]]]:
         """For each text: the best ids, their score, and the other segmentations as (score, [(start, end, ids)]) against the best."""
@@ -149,12 +186,8 @@ class Segmenter:
             self.known.forget()
         new = self.known.unknown(unique)
         if new.any():
-            ways = [self.lattice.n_best(string(k), self.n) for k in at[new].tolist()]
-            scores = np.full((len(ways), self.n), np.inf)
-            for row, found in zip(scores, ways, strict=True):
-                row[0] = found[0][0]
-                row[1 : len(found)] = [found[0][0] - s for s, _ in found[1:]]
-            self.known.learn(unique[new], [found[0][1] for found in ways], scores)
+            found = [self.lattice.best(string(k)) for k in at[new].tolist()]
+            self.known.learn(unique[new], [f[0] for f in found], np.array([f[1:] for f in found]))
         slot = self.known.slot(unique)[place]
         ids, id_ends = self.known.ids(slot)
         id_ends = np.concatenate([[0], id_ends])
@@ -162,20 +195,24 @@ class Segmenter:
         bounds = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             score = float(extra[a:b, 0].sum())
-            yield ids[id_ends[a] : id_ends[b]], score, self._others(extra[a:b], a, score, id_ends, string)
+            yield ids[id_ends[a] : id_ends[b]], score, self._others(extra[a:b, 1], a, score, ids, id_ends, string)
 
-    def _others(self, extra: np.ndarray, a: int, score: float, id_ends: np.ndarray, string) -> list:
-        if self.n < 2 or not len(extra):
+    def _others(self, losses: np.ndarray, a: int, score: float, ids: np.ndarray, id_ends: np.ndarray, string) -> list:
+        if self.n < 2 or not len(losses):
             return []
-        k = min(self.n - 1, len(extra))
-        near = np.sort(np.argpartition(extra[:, 1], k - 1)[:k]) if k < len(extra) else np.arange(len(extra))
+        k = min(self.n - 1, len(losses))
+        near = np.sort(np.argpartition(losses, k - 1)[:k]) if k < len(losses) else np.arange(len(losses))
         sums: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
+        choices = {}
         for u in near.tolist():
-            losses = [(j, float(x)) for j, x in enumerate(extra[u, 1:], 1) if x < np.inf]
-            sums = sorted(sums + [(s + x, (*chosen, (u, j))) for s, chosen in sums for j, x in losses])[: self.n]
+            chosen = tuple(ids[id_ends[a + u] : id_ends[a + u + 1]].tolist())
+            ways = self.ways(string(a + u))
+            top = ways[0][0]
+            choices[u] = [(top - s, way) for s, way in ways if way != chosen][: self.n - 1]
+            sums = sorted(sums + [(s + loss, (*taken, (u, j))) for s, taken in sums for j, (loss, _) in enumerate(choices[u])])[: self.n]
         out = []
-        for loss, chosen in sums[1:]:
-            edits = [(int(id_ends[a + u] - id_ends[a]), int(id_ends[a + u + 1] - id_ends[a]), self.ways(string(a + u))[j][1]) for u, j in chosen]
+        for loss, taken in sums[1:]:
+            edits = [(int(id_ends[a + u] - id_ends[a]), int(id_ends[a + u + 1] - id_ends[a]), choices[u][j][1]) for u, j in taken]
             out.append((score - loss, edits))
         return out
 
