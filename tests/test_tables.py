@@ -289,3 +289,36 @@ def test_flags_against_training_keys(spark):
     r = compare.compare_dataset(flagged, "live").first()
     assert (r["total_records"], r["new_records"], r["unique_customers"], r["new_customers"]) == (4, 3, 2, 1)
     assert compare.alerts(compare.compare_datasets({"live": flagged, "other": live}), 30.0).count() == 2
+
+
+def test_sums_take_nan_as_missing(spark):
+    from tidemark.operators.merge import sum_by_key_date
+
+    df = spark.createDataFrame([("a", "d", 1.0), ("a", "d", float("nan")), ("b", "d", float("nan"))], "k string, d string, v double")
+    assert rows(sum_by_key_date(df, "k", "d")) == [("a", "d", 1.0), ("b", "d", 0.0)]
+
+
+def test_retention_holds_after_a_repeated_run(spark, tmp_path):
+    import datetime
+
+    from tidemark.sources.files import append_with_retention
+
+    path, day = str(tmp_path / "store"), datetime.date
+    old = spark.createDataFrame([(1, day(2024, 1, 1)), (2, day(2024, 5, 1))], "n int, d date")
+    append_with_retention(old, path, "d", "2024-01-01")
+    new = spark.createDataFrame([(3, day(2024, 6, 1))], "n int, d date")
+    for _ in range(2):
+        got = append_with_retention(new, path, "d", "2024-06-01")
+        assert rows(got) == [(2, day(2024, 5, 1)), (3, day(2024, 6, 1))]
+        assert spark.read.parquet(path).count() == 2
+
+
+def test_all_numeric_columns_are_reported(spark):
+    from tidemark.operators.quality import query_profile
+    from tidemark.operators.relational import metric_columns
+
+    df = spark.range(3).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(14)])
+    assert metric_columns(df, ["c7"], ("c0",)) == ["c7", *[f"c{i}" for i in range(1, 14) if i != 7]]
+    assert metric_columns(df, ["c7"], ("c0",), 2) == ["c7", "c1"]
+    assert query_profile(df).count() == 14
+    assert query_profile(df, 3).count() == 3

@@ -123,8 +123,8 @@ def below_sentinel(df: DataFrame, metric: str, sentinel: int = DAYS_SENTINEL) ->
 
 
 def sample_entities(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """All rows of ``n`` entities drawn by seeded hash; the same draw every time."""
-    drawn = df.select(key).dropna().distinct().orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """All rows of ``n`` entities drawn by seeded hash (MD5 of seed and key); the same draw every time."""
+    drawn = df.select(key).dropna().distinct().orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key)).cast("binary")), key).limit(n)
     return df.join(drawn, key, "left_semi")
 
 

@@ -8,6 +8,7 @@ then cut the value range into slots whose totals are small tables.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ from pyspark.sql import functions as F
 _SLOTS = 4096
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The frame, computed once for all the figures taken from it; callers may ``unpersist`` it."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def scalars(df: DataFrame, **aggs: Column) -> Column:
     """One-row aggregates of a frame as a struct column for use in another plan.
 

@@ -93,11 +93,9 @@ add(
 )
 add(
     "entity_sample", "P13",
-    lambda t: R.sample_entities(t.txn, "account_number", 50).agg(
-        F.count_distinct("account_number").alias("entities"),
-        (F.count(F.lit(1)) > 0).alias("has_rows"),
-    ),
-    "SELECT least(50, count(DISTINCT account_number)) AS entities, true AS has_rows FROM txn",
+    lambda t: R.sample_entities(t.txn, "account_number", 50),
+    """SELECT * FROM txn WHERE account_number IN
+        (SELECT account_number FROM (SELECT DISTINCT account_number FROM txn) ORDER BY md5('42:' || account_number), account_number LIMIT 50)""",
 )
 
 # --- joins -----------------------------------------------------------------------------------

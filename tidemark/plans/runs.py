@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import features as X
 from tidemark.operators.merge import STANDARD_METRICS, Bundle, merge_sources
 from tidemark.operators.relational import drop_existing
+from tidemark.operators.scale import kept
 
 
 @dataclass(frozen=True)
@@ -26,11 +26,6 @@ class Load:
     features: DataFrame
 
 
-def kept(merged: DataFrame) -> DataFrame:
-    """The merge, computed once however many tables of a load are asked for; callers may ``unpersist`` it."""
-    return merged.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
     """All accounts; weeks after a churn are guarded out; statics hold the time to churn."""
     merged = kept(merge_sources(bundle, since, metrics=STANDARD_METRICS))

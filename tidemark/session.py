@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -16,7 +20,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_LOCAL_DIRS: dict[str, str] = {}
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -34,25 +38,45 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see, named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting falls back to a temporary folder.
+    Only a local session without the setting gets one of its own, below the folder for
+    temporary files and named after the application; it is removed with the session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return _LOCAL_DIRS[app]
+    path = os.path.join(tempfile.gettempdir(), f"spark-{spark.sparkContext.applicationId}")
+    _remove_at_exit(spark, path)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is written there is removed when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
+    return path
 
 
-def local_session(cores: int | str = "*", memory: str = "20g", partitions: int = 8) -> SparkSession:
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    if not any(p == path for _, p in _SCRATCH):
+        _SCRATCH.append((spark, path))
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Remove what scratch paths hold, on whatever store they are; a session that has ended leaves its files."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # the JVM may be gone
+            if not urlparse(path).scheme:
+                shutil.rmtree(path, ignore_errors=True)
+
+
+def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -147,14 +147,19 @@ def export_many(tables: dict[str, DataFrame], path: str) -> tuple[dict[str, dict
 
 
 def append_with_retention(df: DataFrame, path: str, date_column: str, as_of: str, days: int = 90) -> DataFrame:
-    """Append a report to a date-partitioned store; gives back its last ``days`` days.
+    """Put a report into a date-partitioned store and keep the store's last ``days`` days.
 
-    Old days are whole partitions, so the filter prunes them instead of reading them.
+    A day is a partition: one that the report has replaces the one in the store, so a
+    repeated run doubles nothing, and older ones are removed from the store.
     """
-    df.write.mode("append").partitionBy(date_column).parquet(path)
-    kept = df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column).parquet(path)
     floor = F.date_sub(F.lit(as_of).cast("date"), days)
-    return kept.where(F.col(date_column) >= floor).select(*df.columns)
+    old = spark.read.parquet(path).where(F.col(date_column) < floor).select(F.col(date_column).cast("string")).distinct()
+    for (day,) in old.collect():
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{date_column}={day}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return spark.read.schema(df.schema).parquet(path).where(F.col(date_column) >= floor).select(*df.columns)
 
 
 def first_rows(df: DataFrame, key: list[str], n: int = 1000) -> DataFrame:
