@@ -7,6 +7,7 @@ length, so equal words have equal hashes wherever they stand.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -24,17 +25,21 @@ _AS_IS[_SPACE] = 0
 _LOWERED = _AS_IS.copy()
 _LOWERED[65:91] += np.uint64(32)
 
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+@lru_cache(maxsize=1)
+def _power_tables() -> list[np.ndarray]:
+    """Powers of the base and of its inverse as far as this process has needed them; not shipped with functions that use them."""
+    return [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, 0 to n - 1."""
-    if len(_POWERS[0]) < n:
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, 0 to n - 1 at least."""
+    tables = _power_tables()
+    if len(tables[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(n, base, np.uint64)
             steps[0] = 1
-            _POWERS[k] = np.multiply.accumulate(steps)
-    return _POWERS[0], _POWERS[1]
+            tables[k] = np.multiply.accumulate(steps)
+    return tables
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
