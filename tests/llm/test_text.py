@@ -205,6 +205,25 @@ def test_main_text_of_the_given_pages(spark, tiny):
         assert html.main_text(r["html"]) == " ".join(b for b in blocks if b)
 
 
+LONG = "The text of the page is long enough to be the page. " * 3
+KEPT = [
+    (f'<div class="layout with-sidebar"><main><article><p>{LONG}</p></article></main></div>', LONG),
+    (f'<div class="sidebar"><main><p>{LONG}</p></main></div><div class="sidebar">s</div>', LONG),
+    (f'<form id="page"><nav><a href="/">n</a></nav><div><p>{LONG}</p></div></form>', LONG),
+    (f'<div class="promo"><p>{LONG}</p></div><div><p>x</p></div>', f"{LONG}x"),
+    ('<article><h2 id="related">A</h2><p>a</p><section id="social-impact"><p>b</p></section><p class="notice">c</p><div class="notice">d</div></article>', "A a b c d"),
+    ('<main><p><a href="/wiki/Hidden_Figures">A</a> <i title="hidden costs">b</i> <b data-hidden="false">c</b> <a href="?id=3&class=promo">d</a> <i hidden>no</i></p></main>', "A b c d"),
+    ("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p>", "If x=1 then"),
+    (f'<article><p>{LONG}</p><div class="related"><a href="x">one</a></div><div class="wide ad">buy</div></article>', LONG),
+    (f'<article><p>short</p></article><div id="comments"><article><p>{LONG}</p></article></div>', "short"),
+]
+
+
+@pytest.mark.parametrize("page, want", KEPT)
+def test_names_do_not_cut_the_article(page, want):
+    assert html.main_text(page) == want.strip()
+
+
 def test_hard_pages_end():
     for page in ("<div>" * 5000 + "x", "<p " * 5000, "<!--" * 5000, "<b>" * 5000 + "x" + "</i>" * 5000, "<a href='" + "x" * 50_000):
         html.main_text(page)

@@ -2,7 +2,11 @@
 
 A tolerant parser reads the whole page into a tree of nodes in page order.  Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are cut away where their tag, role or name says so.  For every node left, its
+are cut away where their tag, role or name says so: the id or a token of the class as a
+whole, of blocks only.  A name that an article's own parts bear too cuts there only what
+is mostly links.  What holds the main element, an article no shorter than those
+elsewhere, or most of the page's text outside links (unless an article or main element
+elsewhere has text) stays.  For every node left, its
 characters, tags, link characters and link tags give the link-adjusted characters
 per tag::
 
@@ -26,6 +30,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,11 +40,17 @@ TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
     re.S,
 )
-NAMED = re.compile(r"(?i)\b(class|id|role|hidden|aria-hidden|aria-label|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+MATH = frozenset(
+    "math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+#: Elements whose text runs on with the text around them.
+FLOWING = INLINE | MATH
 BLOCK_IN_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
 )
@@ -54,60 +65,148 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
-#: Elements that are never content.
-CUT_TAGS = frozenset("nav footer aside form button select input menu dialog object embed audio video canvas map head".split()) | RAW
+#: Elements that are never content, and those that hold no page.
+CONTROLS = frozenset("button select input object embed audio video canvas map".split())
+CUT_TAGS = frozenset("nav footer aside form menu dialog head".split()) | CONTROLS | RAW
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words of a class or id that name something that is not content.
+#: Classes and ids that name something that is not content, of these reader comments, and names that parts of an article bear too.
+COMMENT_NAMES = frozenset("comment comments commentlist comment-list comments-area disqus disqus_thread respond replies".split())
 CUT_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs"
-    " header masthead footer sidebar aside widget cookie cookies consent notice notices disclaimer gdpr popup modal overlay newsletter subscribe signup login"
-    " comment comments commentlist disqus respond replies share sharing social related recommended recommendations pagination pager toolbar skip".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menubar breadcrumb breadcrumbs"
+    " site-header page-header masthead footer site-footer page-footer sidebar aside cookie cookies cookie-notice cookie-banner cookie-consent gdpr popup modal"
+    " newsletter subscribe signup login share sharing recommended recommendations pagination pager".split()
 )
+SHARED_NAMES = frozenset("banner menu header widget consent notice notices disclaimer overlay social related toolbar skip".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CONTENT_TAGS = frozenset(("article", "main"))
+#: Why an element may be cut away.
+NAMED, SHARED, COMMENTS, CONTROL = 1, 2, 3, 4
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "pieces", "cut", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "pieces", "mark", "own", "text", "plain", "left", "article", "main", "within", "inside", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool) -> None:
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, mark: int) -> None:
+        self.tag, self.parent, self.mark = tag, parent, mark  # mark: why it may be cut, or 0
         self.children: list[Node] = []
         self.pieces: list[str | Node] = []  # text and children in page order
+        self.own = self.text = self.plain = self.left = 0  # characters: its own, all, outside links, of these outside marked nodes
+        self.article = self.inside = 0  # the longest article below it, and free article and main elements around it
+        self.main = self.within = False  # whether a main element is below it, and whether an article or main element is around it
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _is_cut(tag: str, attributes: str, inside: Node) -> bool:
+def attributes_of(source: str) -> dict[str, str]:
+    """Attributes by their full names; of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(source):
+        found.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
+    return found
+
+
+def _mark(tag: str, attributes: str, inside: Node) -> int:
+    """Why an element may be something other than content; 0 if nothing says so."""
+    if tag in CONTROLS:
+        return CONTROL
     if tag in CUT_TAGS:
-        return True
+        return NAMED
     if tag == "header":
         node: Node | None = inside
-        while node is not None:
-            if node.tag in CONTENT_TAGS:
-                return False
+        while node is not None and node.tag not in CONTENT_TAGS:
             node = node.parent
-        return True
+        return NAMED if node is None else 0
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for m in NAMED.finditer(attributes):
-        name, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
-        if name == "role" and value in CUT_ROLES:
-            return True
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
-        if name in ("class", "id") and any(w in CUT_NAMES for w in re.split(r"[^a-z]+", value)):
-            return True
-    return False
+        return 0
+    return _mark_of(tag in HEADINGS or tag in FLOWING, attributes)
+
+
+@lru_cache(maxsize=1 << 12)
+def _mark_of(nameless: bool, attributes: str) -> int:
+    a = attributes_of(attributes)
+    if a.get("role", "").strip().lower() in CUT_ROLES or "hidden" in a or a.get("aria-hidden", "").strip().lower() == "true":
+        return NAMED
+    if UNSEEN.search(a.get("style", "").lower()):
+        return NAMED
+    if nameless:
+        return 0
+    names = {*a.get("class", "").lower().split(), a.get("id", "").strip().lower()}
+    return NAMED if names & CUT_NAMES else COMMENTS if names & COMMENT_NAMES else SHARED if names & SHARED_NAMES else 0
+
+
+def _free(nodes: list[Node]) -> list[Node]:
+    """The article and main elements that no marked node holds and that have text of their own outside links and marked nodes."""
+    for node in reversed(nodes):
+        node.left = 0 if node.tag == "a" else node.own + sum(c.left for c in node.children if not c.mark)
+    free = []
+    todo = [(nodes[0], 0)]
+    while todo:
+        node, inside = todo.pop()
+        node.inside = inside
+        if node.tag in CONTENT_TAGS and node.left:
+            free.append(node)
+            inside += 1
+        todo.extend((c, inside) for c in node.children if not c.mark)
+        for c in node.children:
+            c.inside = inside
+    return free
+
+
+def settle(root: Node) -> None:
+    """Takes the marked nodes out of the tree, but those that hold the page's content."""
+    nodes = _walk(root)
+    for node in reversed(nodes):
+        node.own = sum(len("".join(p.split())) for p in node.pieces if isinstance(p, str))
+        if node.mark == CONTROL:
+            node.own = 0
+        node.text = node.plain = node.own
+        main = False
+        for c in node.children:
+            node.text += c.text
+            node.plain += c.plain
+            node.article = max(node.article, c.article, c.plain if c.tag in CONTENT_TAGS else 0)
+            main = main or c.main or c.tag == "main"
+        node.main = main
+        if node.tag == "a":
+            node.plain = 0
+    marked = []
+    for node in nodes:
+        up = node.parent
+        node.within = up is not None and (up.within or up.tag in CONTENT_TAGS)
+        if node.mark == SHARED and (node.within or node.tag == "p") and 2 * node.plain > node.text:
+            node.mark = 0
+        if node.mark and node.main:
+            node.mark = 0
+        if node.mark:
+            marked.append(node)
+    if not marked:
+        return
+    longest = max((n.left for n in _free(nodes)), default=0)
+    for node in marked:
+        if node.mark != COMMENTS and node.article > 0 and node.article >= longest:
+            node.mark = 0
+    if not _free(nodes):
+        for node in marked:
+            if node.article:
+                node.mark = 0
+    free = len(_free(nodes))
+    for node in marked:
+        if node.mark and node.mark != CONTROL and node.tag not in FLOWING and 2 * node.plain > root.plain and free <= node.inside:
+            node.mark = 0
+    for node in nodes:
+        if any(c.mark for c in node.children):
+            node.children = [c for c in node.children if not c.mark]
+            node.pieces = [p for p in node.pieces if isinstance(p, str) or not p.mark]
 
 
 def parse(page: str) -> Node:
-    """The tree of a page; what is cut away has no nodes below it."""
-    root = Node("#root", None, False)
+    """The tree of a page without what is cut away."""
+    root = Node("#root", None, 0)
     stack = [root]
     at, end = 0, len(page)
 
     def text(piece: str) -> None:
-        if piece and not stack[-1].cut:
+        if piece:
             stack[-1].pieces.append(html.unescape(piece) if "&" in piece else piece)
 
     def close(tags: set[str] | frozenset[str], limits: set[str] | frozenset[str]) -> None:
@@ -144,21 +243,19 @@ def parse(page: str) -> Node:
         if tag in ("html", "body") and any(n.tag == tag for n in stack):
             continue
         if tag in VOID:
-            if not top.cut:
-                top.pieces.append("\x00" if tag == "hr" else " " if tag == "br" else "")
-                top.tags += 1
+            top.pieces.append("\x00" if tag == "hr" else " " if tag == "br" else "")
+            top.tags += 1
             continue
-        cut = top.cut or _is_cut(tag, attributes, top)
         if tag in RAW:
             stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = stop.end() if stop else end
             continue
-        node = Node(tag, top, cut)
-        if not cut:
-            top.children.append(node)
-            top.pieces.append(node)
+        node = Node(tag, top, _mark(tag, attributes, top))
+        top.children.append(node)
+        top.pieces.append(node)
         if not attributes.rstrip().endswith("/") or tag in BLOCK_IN_P or tag in INLINE:
             stack.append(node)
+    settle(root)
     return root
 
 
@@ -176,7 +273,7 @@ def measure(body: Node) -> list[Node]:
     """Densities and density sums of all nodes below and including ``body``, parents first."""
     nodes = _walk(body)
     for node in reversed(nodes):
-        node.chars += sum(len("".join(p.split())) for p in node.pieces if isinstance(p, str))
+        node.chars += node.own
         for c in node.children:
             node.chars += c.chars
             node.tags += c.tags + 1
@@ -213,7 +310,7 @@ def content(root: Node) -> Node | None:
             if node.sum > best.sum and node.children:
                 best = node
             todo.extend(node.children)
-    while best.tag in INLINE and best.parent is not None and best is not body:
+    while best.tag in FLOWING and best.parent is not None and best is not body:
         best = best.parent
     node = best
     while node is not None and node is not body:
@@ -229,13 +326,13 @@ def blocks(node: Node) -> Iterator[str]:
     todo: list[str | Node | None] = [node]
     while todo:
         piece = todo.pop()
-        if piece is None or piece == "\x00" or (isinstance(piece, Node) and piece.tag not in INLINE):
+        if piece is None or piece == "\x00" or (isinstance(piece, Node) and piece.tag not in FLOWING):
             block = " ".join("".join(open_).split())
             if block:
                 yield block
             open_ = []
         if isinstance(piece, Node):
-            if piece.tag not in INLINE:
+            if piece.tag not in FLOWING:
                 todo.append(None)
             todo.extend(reversed(piece.pieces))
         elif piece is not None and piece != "\x00":
