@@ -198,6 +198,19 @@ def test_pieces_by_enumeration(spark, model):
     assert pieces.encoded(frame.limit(0), model).count() == 0
 
 
+def test_pieces_across_line_ends_by_enumeration(model):
+    """Carriage returns belong to pieces with what stands before them, and a literal space mark joins a space."""
+    lattice = pieces.lattice(model)
+    texts = ["foo;\r\nbar", "a }\r\n\r\nb.\r", "x\ry);\r\r z", "no,\r é\r\n", ";\r", "\r\na:\r", "日\r\n日", "a\u2581 b", "a;\r\u2581 b"]
+    for text, (ids, score, others) in zip(texts, pieces.Segmenter(model, 4)(pa.array(texts)), strict=True):
+        ways = all_ways(lattice, pieces.SPACE + text.replace(" ", pieces.SPACE))
+        assert [w[0] for w in ways[:4]] == pytest.approx([score, *(s for s, _ in others)]), text
+        assert dict((w[1], w[0]) for w in ways)[tuple(ids.tolist())] == pytest.approx(score)
+        assert lattice.decode(ids).decode() == text.replace(pieces.SPACE, " ")
+    ids, *_ = next(iter(pieces.Segmenter(model, 1)(pa.array(["foo;\r\nbar"]))))
+    assert lattice.ids[";\r"] in ids
+
+
 def test_pieces_of_documents_decode(spark, tiny, model):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     got = pieces.decoded(pieces.encoded(docs, model), model).join(docs, "doc_id")

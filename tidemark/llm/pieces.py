@@ -5,9 +5,10 @@ the best score of every prefix; searching backward from the end with A*, those s
 exact estimates of what is still to come, so the first ``n`` complete paths that leave
 the agenda are the n best segmentations in order, and nothing beyond them is expanded.
 
-No piece has a space behind another character, and none has other white space, so the
-lattice of a text falls apart behind every word.  Words with the space before them are
-looked at once per process, for their best segmentation and how much worse the next
+The lattice of a text falls apart wherever no piece of the vocabulary has the two
+characters side by side: behind every word, but for the few characters of white space
+(as carriage returns) that pieces have behind others; there it does so behind these.
+Words with the space before them are looked at once per process, for their best segmentation and how much worse the next
 one is (forward and backward scores tell).  The n best of a whole text are the least
 ``n`` sums of at most one loss per word, for which the n - 1 words with the least first
 losses are enough; A* finds those words' n best.  Scores are the vocabulary's; a character of no
@@ -67,6 +68,10 @@ class Lattice:
         self.unknown = min(self.score[i] for i in self.ids.values() if self.score[i] > OUT_OF_USE) - PENALTY
         usable = {p: ((i,), self.score[i]) for p, i in self.ids.items()}
         self.starts = {p[:k]: usable.get(p[:k]) for p in self.ids for k in range(1, len(p) + 1)}  # None: only the start of pieces
+        self.joins = np.zeros((256, 256), bool)  # bytes that some piece has side by side
+        for p in self.ids:
+            b = np.frombuffer(p.replace(SPACE, " ").encode(), np.uint8)
+            self.joins[b[:-1], b[1:]] = True
         self.flat = np.frombuffer(b"".join(plain), np.uint8)
         self.size = np.array([len(p) for p in plain], np.int64)
         self.begin = np.cumsum(self.size) - self.size
@@ -172,7 +177,7 @@ class Segmenter:
     def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, float, list[tuple[float, list[tuple[int, int, tuple[int, ...]]]]]]]:
         """For each text: the best ids, their score, and the other segmentations as (score, [(start, end, ids)]) against the best."""
         w = words(texts, lower=False)
-        hashes, starts, ends, doc = spaced_words(w)
+        hashes, starts, ends, doc = spaced_words(w, self.lattice.joins)
         data = w.bytes.tobytes()
         first = np.zeros(len(starts), bool)
         first[np.searchsorted(starts, w.offsets[:-1][np.diff(w.offsets) > 0])] = True

@@ -96,13 +96,36 @@ def words(texts: pa.Array, lower: bool) -> Words:
     return Words(data, offsets, hashes, starts, ends, np.searchsorted(offsets, starts, "right") - 1)
 
 
-def spaced_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _moved(w: Words, joins: np.ndarray) -> np.ndarray:
+    """The words' ends, each moved on to the next place between two characters that ``joins`` does not have side by side."""
+    data, n = w.bytes, len(w.bytes)
+    cuts = w.ends.copy()
+    todo = np.arange(len(cuts))
+    edge = np.zeros(n + 1, bool)
+    edge[w.offsets] = True
+    while len(todo):
+        at = cuts[todo]
+        todo = todo[~edge[at]]
+        at = cuts[todo]
+        left, right = data[at - 1], data[at]
+        mark = (right == 0xE2) & (data[np.minimum(at + 1, n - 1)] == 0x96) & (data[np.minimum(at + 2, n - 1)] == 0x81)
+        right = np.where(mark, 32, right)
+        mark = (left == 0x81) & (data[np.maximum(at - 2, 0)] == 0x96) & (data[np.maximum(at - 3, 0)] == 0xE2)
+        left = np.where(mark, 32, left)
+        todo = todo[joins[left, right] | (right & 0xC0 == 0x80)]
+        cuts[todo] += 1
+    return cuts
+
+
+def spaced_words(w: Words, joins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The texts cut behind each word, so that each part is a word and the white space before it.
 
     Hash, first byte, end and text of each part; what follows a text's last word is a
-    part too, and the first part of a text has a hash of its own kind.
+    part too, and the first part of a text has a hash of its own kind.  ``joins`` tells
+    for two bytes, the mark of a space counting as one, whether they must stay together
+    where one ends a character and the next begins one; such cuts move on.
     """
-    cuts = np.unique(np.concatenate([w.offsets, w.ends]))
+    cuts = np.unique(np.concatenate([w.offsets, w.ends if joins is None else _moved(w, joins)]))
     starts, ends = cuts[:-1], cuts[1:]
     if not len(starts):
         none = np.zeros(0, np.int64)
