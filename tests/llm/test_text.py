@@ -114,6 +114,22 @@ def test_network_finds_hidden_secrets():
     assert [text[a:b] for k, a, b in spans] == ["Zk3vQ9xT2mB7pL5wR8sD1f"]
 
 
+KEY_CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+
+def test_threshold_keeps_recall_beside_unknown_keys():
+    """Keys among what is called harmless do not lift the threshold above their kind."""
+    rng = random.Random(9)
+    key = lambda: "".join(rng.choice(KEY_CHARS) for _ in range(40))
+    word = lambda: "".join(rng.choice(["the", "er", "tion", "an", "ou"]) for _ in range(9))
+    seen = lambda s: credentials.views(f"one {s} two", 4, 4 + len(s))[0]
+    codes = [seen(key()) for _ in range(300)] + [seen(word()) for _ in range(300)] + [seen(key()) for _ in range(12)]
+    network = credentials.fit(np.array(codes, np.int16), np.array([1] * 300 + [0] * 312))
+    assert network.threshold <= 1
+    assert np.mean([network.probability(np.array([seen(key())], np.int16))[0] >= network.threshold for _ in range(200)]) > 0.85
+    assert [credentials.may_be_key(s) for s in ("ghp_16C7e42F292c6912E7710c838347Ae178B4a", "thanonontioniner", "4785380592391139")] == [True, False, False]
+
+
 def counts_by_hand(text):
     words = [w for w in re.split("[ \t-\r]+", text) if w]
     windows = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))

@@ -15,10 +15,12 @@ reaches the threshold becomes a span of kind ``model``.
 
 The network is trained on the driver on labelled findings: the base spans of at most
 ``rows`` documents (texts of at most ``chars`` characters, least hash of the id first) are
-secrets, the other long runs of the same documents are not, digits or none.  On a
-held-out third, scores are calibrated by a logistic fit, and the threshold is the
-highest that still recalls ``recall`` of the secrets, but above every run known to be
-harmless.  Without findings there is no network and base spans stand alone.
+secrets, the other long runs of the same documents are not, digits or none; but runs
+that may be keys of no base kind (digits with letters, or letters of changing case, as
+mixed as random ones) have no label.  On a held-out third, scores are calibrated by a
+logistic fit.  The threshold is the least, from 0.5 on, that at most ``harm`` of the
+harmless runs reach, but never above what still recalls ``recall`` of the secrets.
+Without findings there is no network and base spans stand alone.
 
 NULL counts as empty; rows are handled one by one, so repeated rows repeat their spans;
 columns are addressed by name.  Positions count code points, ends are exclusive.
@@ -30,6 +32,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "model")
 BASE = KINDS[:3]
-ROWS, CHARS, RECALL, SEED = 1500, 20_000, 0.95, 11
+ROWS, CHARS, RECALL, HARM, SEED = 1500, 20_000, 0.95, 0.001, 11
 
 #: Fixed patterns of the base kinds; a failing match is dropped.
 ASSIGN = re.compile(r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -85,6 +88,14 @@ def runs(text: str, taken: list[Span], digits: bool = True) -> list[tuple[int, i
     return [(a, b) for a, b in found if all(b <= s or a >= e for _, s, e in taken)]
 
 
+def may_be_key(run: str) -> bool:
+    """Whether a run is as mixed as a random key: no example of what is harmless."""
+    if len(set(run)) < 10 or not any(c.isalpha() for c in run):
+        return False
+    rises = sum(a.islower() and b.isupper() for a, b in pairwise(run))
+    return DIGIT.search(run) is not None or 5 * rises >= len(run)
+
+
 def _code(c: str) -> int:
     return HEX_LETTERS if c in "abcdef" else _PLACE.get(c, OTHER)
 
@@ -154,7 +165,7 @@ def _logistic(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(codes: np.ndarray, y: np.ndarray, recall: float = RECALL, steps: int = 300, batch: int = 128, rate: float = 0.01) -> Network:
+def fit(codes: np.ndarray, y: np.ndarray, recall: float = RECALL, harm: float = HARM, steps: int = 300, batch: int = 128, rate: float = 0.01) -> Network:
     """A network trained by Adam on two thirds of the examples, calibrated and cut on the rest."""
     rng = np.random.default_rng(SEED)
     held = np.zeros(len(y), bool)
@@ -187,8 +198,9 @@ def fit(codes: np.ndarray, y: np.ndarray, recall: float = RECALL, steps: int = 3
     score = _forward(codes[rest], *weights)[0].astype(float)
     slope, shift = _logistic(score, y[rest].astype(float))
     p = 1 / (1 + np.exp(-np.clip(slope * score + shift, -60, 60)))
-    secrets = np.sort(p[y[rest] == 1])
-    threshold = max(float(secrets[int((1 - recall) * len(secrets))]), float(np.nextafter(p[y[rest] == 0].max(), 2)), 0.5)
+    secrets, harmless = np.sort(p[y[rest] == 1]), np.sort(p[y[rest] == 0])
+    bound = float(np.nextafter(harmless[-1 - int(harm * len(harmless))], 2))
+    threshold = min(float(secrets[int((1 - recall) * len(secrets))]), max(bound, 0.5))
     return Network(*weights, slope, shift, threshold)
 
 
@@ -208,7 +220,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int
             codes += seen
             y += [1] * len(seen)
         for a, b in runs(row["__text"], spans, digits=False):
-            seen = views(row["__text"], a, b)
+            seen = [] if may_be_key(row["__text"][a:b]) else views(row["__text"], a, b)
             codes += seen
             y += [0] * len(seen)
     if min(y.count(0), y.count(1)) < 10:
