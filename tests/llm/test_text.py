@@ -130,6 +130,36 @@ def test_threshold_keeps_recall_beside_unknown_keys():
     assert [credentials.may_be_key(s) for s in ("ghp_16C7e42F292c6912E7710c838347Ae178B4a", "thanonontioniner", "4785380592391139")] == [True, False, False]
 
 
+def test_candidates_by_cue_and_beside_base_spans():
+    hexed = "0123456789abcdef" * 2
+    cases = {
+        f"x Zk3vQ9xT2mB7pL5w-{hexed} y": ["Zk3vQ9xT2mB7pL5w-"],
+        f"x Zk3vQ9xT2mB7pL5w-{hexed}-tail y": ["Zk3vQ9xT2mB7pL5w-", "-tail"],
+        "the password is hunter2!x9, and so on": ["hunter2!x9"],
+        "pwd: ab.C1@d#4 next": ["ab.C1@d#4"],
+        "Authorization: Bearer abc.DEF!ghi": ["Bearer", "abc.DEF!ghi"],
+        "see QwErTyUiOpAsDfGhJkL here": ["QwErTyUiOpAsDfGhJkL"],
+        "a hunter2!x9 without anything": [],
+        "the key is late": [],
+    }
+    for text, want in cases.items():
+        assert [text[a:b] for a, b, _ in credentials.candidates(text, credentials.base_spans(text))] == [w for w in want if w != "Bearer"], text
+
+
+def test_cued_and_split_secrets_are_found(spark):
+    rng = random.Random(10)
+    draw = lambda n: "".join(rng.choice(KEY_CHARS) for _ in range(n))
+    prose = "the words of this text are ordinary everyday language about something password protected "
+    docs = [(i, f'{prose} token = "{draw(rng.randrange(9, 40))}" {prose} anotherverylongordinaryword') for i in range(400)]
+    network = credentials.train(spark.createDataFrame(docs, "doc_id long, text string"))
+    cued = [f"{prose} password is {draw(6)}!{draw(7)} {prose}" for _ in range(100)]
+    split = [f"{prose} {draw(20)}-{'0123456789abcdef' * 2} {prose}" for _ in range(100)]
+    letters = [f"{prose} {re.sub('[0-9]', 'x', draw(30))} {prose}" for _ in range(100)]
+    shown = lambda texts: np.mean([any(s[0] == "model" for s in found) for found in credentials.find(texts, network)])
+    assert min(shown(cued), shown(split), shown(letters)) > 0.9
+    assert shown([prose * 3] * 5) == 0
+
+
 def counts_by_hand(text):
     words = [w for w in re.split("[ \t-\r]+", text) if w]
     windows = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))

@@ -6,18 +6,22 @@ assign   a name for a secret, a colon or equals sign, and a value of 8 or more c
 access   ``AKIA`` and capitals or digits, 16 or more characters together
 hex      32 or more lower-case hexadecimal digits
 
-Every other run of 16 or more characters of ``A-Za-z0-9+/_=-`` that has a digit is a
-candidate.  A small network written in NumPy reads each with its surroundings: one-hot
+Candidates are every run of 16 or more characters of ``A-Za-z0-9+/_=-``, and every string
+of 8 or more characters but white space and quotes behind a cue word (end marks are left
+off).  Where a base span touches one, its parts outside base spans are candidates, however
+short.  A small network written in NumPy reads each with its surroundings: one-hot
 characters, one convolution of width 5, the greatest response of each filter over the
 candidate and over its context, and a logistic layer.  Long candidates are read whole, in
 overlapping windows, and the highest score counts.  A candidate whose calibrated score
-reaches the threshold becomes a span of kind ``model``.
+reaches the threshold becomes a span of kind ``model``, one with those it overlaps.
 
 The network is trained on the driver on labelled findings: the base spans of at most
 ``rows`` documents (texts of at most ``chars`` characters, least hash of the id first) are
-secrets, the other long runs of the same documents are not, digits or none; but runs
+secrets, as are the values of their assignments alone; the other candidates of the same
+documents and up to ``WORDS`` ordinary words of each are not; but candidates
 that may be keys of no base kind (digits with letters, or letters of changing case, as
-mixed as random ones) have no label.  On a held-out third, scores are calibrated by a
+mixed as random ones), what stands beside a base span and values behind a cue that are
+not plain words have no label.  On a held-out third, scores are calibrated by a
 logistic fit.  The threshold is the least, from 0.5 on, that at most ``harm`` of the
 harmless runs reach, but never above what still recalls ``recall`` of the secrets.
 Without findings there is no network and base spans stand alone.
@@ -32,7 +36,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import pairwise
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +56,15 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 NAMES = ("passw", "secret", "token", "apikey", "api_key")
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT = re.compile(r"[0-9]")
+#: Words that announce a secret, and the string behind one.
+CUES = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential")
+CUED = re.compile(
+    r"(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|auth(?:orization)?|bearer|credentials?)[\"']?(?:[ \t]*(?:[:=]>?|=>|\bis\b)[ \t]*|[ \t]+)(?:(?:bearer|basic|token)[ \t]+)?[\"'`]?([^\s\"'`<>]{8,})"
+)
+MARKS = ".,;:!?)]}"
+PLAIN = re.compile(r"[^\W\d_]+[-'’]?[^\W\d_]*[.,;:!?)\]}|%$&#*]*")
+WORD, WORDS = re.compile(r"(?<![^\s])[a-z]{8,15}(?![^\s])"), 4
+DIGIT, ALNUM = re.compile(r"[0-9]"), re.compile(r"[^\W_]")
 
 Span = tuple[str, int, int]
 
@@ -82,10 +94,38 @@ def base_spans(text: str) -> list[Span]:
 _ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
 
 
-def runs(text: str, taken: list[Span], digits: bool = True) -> list[tuple[int, int]]:
-    """Long runs that no base span touches; with a digit unless ``digits`` is false."""
-    found = [m.span() for m in RUN.finditer(text) if not digits or DIGIT.search(text, *m.span())]
-    return [(a, b) for a, b in found if all(b <= s or a >= e for _, s, e in taken)]
+def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, str]]:
+    """Start, end and sort of each candidate outside base spans: a ``run``, what is ``cued``, or ``part`` of one that a base span touches."""
+    found = dict.fromkeys((m.span() for m in RUN.finditer(text)), "run")
+    low = text.lower()
+    if any(c in low for c in CUES):
+        at = 0
+        while (m := CUED.search(text, at)) is not None:
+            a, b = m.span(1)
+            at = a  # the string behind a cue may be a cue itself
+            b = a + len(text[a:b].rstrip(MARKS))
+            if b - a >= 8:
+                found.setdefault((a, b), "cued")
+    out: dict[tuple[int, int], str] = {}
+    spans, first = sorted((s, e) for _, s, e in taken), 0
+    for (a, b), sort in sorted(found.items()):
+        while first < len(spans) and spans[first][1] <= a:
+            first += 1
+        at, touched = a, False
+        for k in range(first, len(spans)):
+            s, e = spans[k]
+            if s >= b:
+                break
+            if e > at:
+                touched = True
+                if s > at and ALNUM.search(text, at, s):
+                    out[at, s] = "part"
+                at = e
+        if not touched:
+            out[a, b] = sort
+        elif at < b and ALNUM.search(text, at, b):
+            out[at, b] = "part"
+    return [(a, b, sort) for (a, b), sort in out.items()]
 
 
 def may_be_key(run: str) -> bool:
@@ -214,15 +254,16 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int
     sample = source.filter(F.length("__text") <= chars).filter(cue).orderBy("__order", "__text").limit(rows)
     codes, y = [], []
     for row in sample.collect():
-        spans = base_spans(row["__text"])
-        for _, a, b in spans:
-            seen = views(row["__text"], a, b)
-            codes += seen
-            y += [1] * len(seen)
-        for a, b in runs(row["__text"], spans, digits=False):
-            seen = [] if may_be_key(row["__text"][a:b]) else views(row["__text"], a, b)
-            codes += seen
-            y += [0] * len(seen)
+        t = row["__text"]
+        spans = base_spans(t)
+        good = [(a, b) for _, a, b in spans] + [m.span(2) for m in ASSIGN.finditer(t) if len(m.group(2)) >= 8]
+        bad = [(a, b) for a, b, sort in candidates(t, spans) if (sort == "run" and not may_be_key(t[a:b])) or (sort == "cued" and PLAIN.fullmatch(t, a, b))]
+        bad += [m.span() for m in islice(WORD.finditer(t), WORDS)]
+        for label, places in ((1, good), (0, bad)):
+            for a, b in places:
+                seen = views(t, a, b)
+                codes += seen
+                y += [label] * len(seen)
     if min(y.count(0), y.count(1)) < 10:
         return None
     return fit(np.array(codes, np.int16), np.array(y), recall)
@@ -235,7 +276,7 @@ def find(texts: list[str | None], network: Network | None) -> list[list[Span]]:
         return out
     places, codes = [], []
     for i, t in enumerate(texts):
-        for a, b in runs(t, out[i]) if t else []:
+        for a, b, _ in candidates(t, out[i]) if t else []:
             for view in views(t, a, b):
                 places.append((i, a, b))
                 codes.append(view)
@@ -243,8 +284,14 @@ def find(texts: list[str | None], network: Network | None) -> list[list[Span]]:
     for at in range(0, len(codes), 4096):
         p = network.probability(np.array(codes[at : at + 4096], np.int16))
         extra.update(places[at + int(k)] for k in np.flatnonzero(p >= network.threshold))
-    for i, a, b in extra:
-        out[i].append(("model", a, b))
+    ends = [0] * len(texts)
+    for i, a, b in sorted(extra):
+        if a < ends[i]:
+            _, start, end = out[i].pop()
+            out[i].append(("model", start, max(end, b)))
+        else:
+            out[i].append(("model", a, b))
+        ends[i] = max(ends[i], b)
     return [sorted(s, key=lambda s: (s[1], KINDS.index(s[0]))) for s in out]
 
 
