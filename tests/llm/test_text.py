@@ -220,6 +220,24 @@ def test_quality_of_labelled_documents(spark, tiny):
     assert quality.train(docs, labels.limit(0)) is None
 
 
+def test_threshold_beside_wrong_labels():
+    good, bad = np.linspace(0.8, 1, 500), np.linspace(0, 0.1, 500)
+    wrong = np.concatenate([good, [0.0, 0.01, 0.02]])
+    for shares in (good, wrong):
+        assert 0.09 < quality.threshold(shares, np.concatenate([bad, [0.9]]), quality.LOST) <= 0.5
+    assert quality.threshold(good, good, quality.LOST) == 0
+
+
+def test_sample_is_of_usable_documents(spark):
+    """Labels of documents that are absent or too long take no place in the sample."""
+    text = lambda i: ("some words of a clean text. " if i % 2 else "# | # | %% MENU | ") * 4 + str(i)
+    docs = spark.createDataFrame([(i, text(i)) for i in range(40)] + [(i, "x" * 999) for i in range(40, 400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    assert quality.train(docs, labels, rows=4, chars=500) is not None
+    with pytest.warns(UserWarning, match="rules alone"):
+        assert quality.train(docs, labels.filter("quality = 1"), rows=4, chars=500) is None
+
+
 PAGES = [
     (None, ""),
     ("", ""),
