@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import credentials, pii, quality
+from tidemark.llm import conversations, credentials, pii, quality, spelling, warc
 from tidemark.llm.common import scratch_path, table, written
 from tidemark.llm.exact import exact_groups
 from tidemark.llm.html import main_texts
@@ -91,6 +91,25 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    pages = table(spark, folder, "pages")
+    warc.write_archive(pages, path)
+    key = pages.schema["page_id"].dataType
+    found = warc.captures(warc.read_archive(spark, path))
+    return found.withColumns({"page_id": F.col("row_key").cast(key), "refers_to": F.col("refers_to").cast(key)}).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(spelling.vocabulary(table(spark, folder, "documents")))
+
+
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_separators": op2_separators,
@@ -102,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simple8b": op8_simple8b,
     "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
+    "op11_warc": op11_warc,
+    "op12_spelling": op12_spelling,
+    "op13_conversations": op13_conversations,
 }
 
 SQL: dict[str, str] = {
@@ -115,4 +137,17 @@ SQL: dict[str, str] = {
                 first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id
             FROM h)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    # Five hexadecimal digits are twenty bits, four letters in base 32.
+    "op11_warc": """
+        WITH d AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+        g AS (
+            SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST, url NULLS LAST) AS place,
+                first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST, url NULLS LAST) AS first
+            FROM d),
+        b AS (SELECT *, flatten([[(('0x' || substr(hex, 5 * i + 1, 5))::INTEGER >> s) & 31 for s in [15, 10, 5, 0]] for i in range(8)]) AS letters FROM g)
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+            array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', k + 1, 1) for k in letters], '') AS payload_digest,
+            CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN place > 1 THEN first END AS refers_to
+        FROM b""",
 }
