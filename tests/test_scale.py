@@ -104,6 +104,23 @@ def test_fuzzy_join_loses_no_pair(spark, seed, least, widths):
     assert got == want and len(want) > 100
 
 
+def test_dense_keys_are_cut_into_tiles(spark):
+    """Names of one rare character: tiles of any size find the same pairs, and no tile holds many more names than it should."""
+    left = [f"zeta {k:03d}" for k in range(120)]
+    right = [f"zeta {k:03d}s" for k in range(140)]
+    l = spark.createDataFrame([(x,) for x in left], "l_name string")
+    r = spark.createDataFrame([(x,) for x in right], "r_name string")
+    want = {(a, b) for a in left for b in right if int(np.floor(plain_similarity(a, b) * 100 + 1e-9)) >= 93}
+    for tile in (7, 64, match.TILE):
+        got = match.fuzzy_pairs(l, r, 93, tile=tile).collect()
+        assert len(got) == len(want) and {(x["l_name"], x["r_name"]) for x in got} == want
+    keyed = spark.range(5000).select(F.concat(F.lit("n"), "id").alias("name"), (F.col("id") % 2 == 0).alias("is_right"), F.lit("hot").alias("key"))
+    sizes = match.tiles(keyed, 500).groupBy("lt", "rt", "is_right").count()
+    per_tile = [r["count"] for r in sizes.collect()]
+    assert len(per_tile) == 2 * 25 and max(per_tile) < 700
+    assert match.tiles(keyed.where("is_right"), 500).count() == 0
+
+
 def test_best_matches_keep_ties_and_exact_names(spark):
     left = spark.createDataFrame([(1, "acme tools"), (2, "Acme Toolz"), (3, "zzz"), (4, None)], "id int, name string")
     right = spark.createDataFrame([("ACME TOOLS", 1), ("acme tools", 2), ("acme toolx", 3), ("acme tooly", 4), ("q", 5)], "other string, u int")

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch_path
+
 _SLOTS = 4096
 
 
@@ -21,6 +23,17 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def settled(df: DataFrame, name: str = "step") -> DataFrame:
+    """The frame written as a table in the shared folder and read back.
+
+    Its lineage is cut, its size is known to the planner, and unlike cached blocks it
+    outlives the executors that computed it.  The files go when the driver ends.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scalars(df: DataFrame, **aggs: Column) -> Column:
     """One-row aggregates of a frame as a struct column for use in another plan.
 
