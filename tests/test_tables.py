@@ -233,6 +233,25 @@ def test_kinds_of_columns(spark):
     }
 
 
+def test_accumulators_send_one_row_per_task(spark):
+    """Forms, ends and counts over odd values; numeric and date tests shuffle a row per task, and no text groups."""
+    texts = ["1", "2.5", " 3 ", "x", "2020-01-01", "latest 2020", "", None, "1e999", "z" * 500, "z" * 500 + "a", "NaN"]
+    df = spark.createDataFrame([(t, float("nan") if t == "x" else 2.0, "Yes" if i % 2 else "no", "long " * 100 + str(i % 2)) for i, t in enumerate(texts)], "t string, f double, yn string, two string")
+    facts = {r["column"]: r for r in quality.column_facts(df).collect()}
+    assert facts["t"]["n_unique"] == 11 and facts["t"]["missing"] == 1 and facts["t"]["date_rows"] == 1 and facts["t"]["forms"] == 15
+    assert facts["f"]["n_unique"] == 2 and not facts["f"]["all_numeric"] and facts["yn"]["low"] == "no"
+    assert rows(quality.binary_pairs(df).select("column", "is_binary")) == [("f", False), ("two", False), ("yn", True)]
+    assert rows(quality.binary_pairs(df.limit(1))) == []
+    found = {r["column"]: r["samples"] for r in quality.profile(df).collect()}
+    assert found["two"] == " | ".join("long " * 100 + k for k in "01")
+    assert found["t"].split(" | ") == sorted(t for t in texts if t is not None)[:10]
+    big = spark.range(100_000).repartition(6).select(F.concat(F.lit("k"), "id").alias("text"))
+    for report in (quality.numeric_text, quality.date_pattern_share):
+        plan = report(big)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange SinglePartition") == 1 and "hashpartitioning" not in plan
+    assert quality.infer_types(df.where("false")).count() == 0
+
+
 def test_optional_types_are_enforced(spark):
     schema = {"fields": {"a": {"type": "Optional[int]", "required": False}, "f": {"type": "int", "validator": "bool_to_int", "required": True}}}
     df = spark.createDataFrame([("7", "Y", "k"), ("x", None, "k")], "a string, f string, other string")

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.coerce import is_date_text, is_number_text, is_numeric, to_double
+from tidemark.operators.scale import scalars
 from tidemark.sources.schemas import FieldRule, schema_rules
 
 # Class limits, sample sizes and the recognised word pairs.
 MAX_CATEGORIES = 10
 SAMPLE_VALUES = 10
 DATE_SHARE = 0.5
+HEAD = 64
+WHOLE_NUMBER, NUMBER, DATE, OTHER_FORM = 1, 2, 4, 8
 BINARY_PAIRS = (("false", "true"), ("no", "yes"), ("n", "y"), ("0", "1"), ("0.0", "1.0"), ("active", "inactive"))
 
 
@@ -37,13 +40,19 @@ def text_form(f: T.StructField) -> Column:
 
 
 def column_values(df: DataFrame) -> DataFrame:
-    """(column, value, n) for all columns at once; NULL is a value here.
+    """(column, head, digest, n) for the distinct values of all columns at once; NULL is a value here.
 
-    One shuffle for any number of columns, combined before it.
+    A value is known by its first ``HEAD`` characters and, where it is longer, by its
+    SHA-256: no free text is a grouping key.  One shuffle for any number of columns,
+    combined before it.
     """
     cells = F.array(*[F.struct(F.lit(f.name).alias("column"), text_form(f).alias("value")) for f in df.schema])
-    melted = df.select(F.explode(cells).alias("cell")).select("cell.column", "cell.value")
-    return melted.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    melted = df.select(F.explode(cells).alias("cell")).select("cell.column", *_known_by(F.col("cell.value")))
+    return melted.groupBy("column", "head", "digest").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _known_by(v: Column) -> tuple[Column, Column]:
+    return F.substring(v, 1, HEAD).alias("head"), F.when(F.length(v) > HEAD, F.unhex(F.sha2(v, 256))).alias("digest")
 
 
 def _lookup(names: dict[str, str]) -> Column:
@@ -62,25 +71,64 @@ def _storage(dtype: T.DataType) -> str:
     return "text"
 
 
-def column_facts(df: DataFrame, values: DataFrame | None = None) -> DataFrame:
-    """Counts and yes/no facts per column from which its kind follows.
+def accumulated(df: DataFrame) -> DataFrame:
+    """Per column what one scan can say: counts, the forms its values have, and the least and greatest of them.
 
-    All rows count, not a sample: the result does not depend on row order.
+    Every accumulator merges, so a task sends one row, however many values it has read.
+    ``forms`` has a bit for each form that a text value has taken.  All rows count, not a
+    sample.  An empty frame has no facts.
     """
-    v, n = F.col("value"), F.col("n")
-    values = column_values(df) if values is None else values
-    facts = values.groupBy("column").agg(
-        F.sum(n).alias("total"),
-        F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("missing"),
-        F.count(v).alias("n_unique"),
-        F.bool_and(is_number_text(v)).alias("all_numeric"),
-        F.bool_and(to_double(v) == F.floor(to_double(v))).alias("all_whole"),
-        F.coalesce(F.sum(F.when(is_date_text(v), n)), F.lit(0)).alias("date_rows"),
-        F.min(F.lower(F.trim(v))).alias("low"),
-        F.max(F.lower(F.trim(v))).alias("high"),
+    aggs, facts = [F.count(F.lit(1)).alias("_total")], []
+    for i, f in enumerate(df.schema):
+        v, stored = text_form(f), _storage(f.dataType)
+        c = F.col(f.name)
+        aggs += [F.count(c).alias(f"_known{i}"), F.min(v).alias(f"_low{i}"), F.max(v).alias(f"_high{i}")]
+        forms, dates = F.lit(WHOLE_NUMBER if stored == "int" else OTHER_FORM), F.lit(0)
+        if stored == "text":
+            # The form is looked for once per value; both accumulators read it.
+            aggs += [F.bit_or(text_forms(v)).alias(f"_forms{i}"), F.count_if(text_forms(v) == DATE).alias(f"_dates{i}")]
+            forms, dates = F.coalesce(F.col(f"_forms{i}"), F.lit(0)), F.col(f"_dates{i}")
+        elif stored == "float":
+            number = F.when(F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")), OTHER_FORM)
+            aggs.append(F.bit_or(F.when(c.isNotNull(), number.when(c == F.floor(c), WHOLE_NUMBER).otherwise(NUMBER))).alias(f"_forms{i}"))
+            forms = F.coalesce(F.col(f"_forms{i}"), F.lit(0))
+        facts.append(
+            F.struct(
+                F.lit(f.name).alias("column"),
+                F.lit(stored).alias("storage"),
+                F.col("_total").alias("total"),
+                (F.col("_total") - F.col(f"_known{i}")).alias("missing"),
+                forms.alias("forms"),
+                dates.cast("long").alias("date_rows"),
+                F.col(f"_low{i}").alias("least"),
+                F.col(f"_high{i}").alias("greatest"),
+            )
+        )
+    rows = df.agg(*aggs).where(F.col("_total") > 0).select(F.explode(F.array(*facts)).alias("f")).select("f.*")
+    # Where a column has two values, these are they; so the word pair follows from the ends.
+    ends = [F.lower(F.trim("least")), F.lower(F.trim("greatest"))]
+    return rows.withColumns(
+        {
+            "all_numeric": F.col("forms").bitwiseAND(DATE | OTHER_FORM) == 0,
+            "all_whole": F.col("forms").bitwiseAND(NUMBER) == 0,
+            "low": F.least(*ends),
+            "high": F.greatest(*ends),
+        }
     )
-    stored = _lookup({f.name: _storage(f.dataType) for f in df.schema})
-    return facts.withColumn("storage", stored)
+
+
+def text_forms(v: Column) -> Column:
+    """The bit of the form that a text value has; NULL for NULL."""
+    number = to_double(v)
+    form = F.when(is_number_text(v), F.when(number == F.floor(number), WHOLE_NUMBER).otherwise(NUMBER))
+    return F.when(v.isNotNull(), form.when(is_date_text(v), DATE).otherwise(OTHER_FORM))
+
+
+def column_facts(df: DataFrame, values: DataFrame | None = None) -> DataFrame:
+    """Counts and yes/no facts per column from which its kind follows, with the exact count of distinct values."""
+    values = column_values(df) if values is None else values
+    distinct = values.groupBy("column").agg(F.count("head").alias("n_unique"))
+    return accumulated(df).join(distinct, "column")
 
 
 def kind_and_type() -> tuple[Column, Column]:
@@ -142,24 +190,42 @@ def infer_types(df: DataFrame, values: DataFrame | None = None) -> DataFrame:
 
 
 def numeric_text(df: DataFrame) -> DataFrame:
-    """Text columns whose known values are all numbers, and whether all are whole."""
-    facts = column_facts(df).where((F.col("storage") == "text") & (F.col("missing") < F.col("total")))
+    """Text columns whose known values are all numbers, and whether all are whole; one row per task is shuffled."""
+    facts = accumulated(df).where((F.col("storage") == "text") & (F.col("missing") < F.col("total")))
     verdict = F.when(~F.col("all_numeric"), "no").when(F.col("all_whole"), "integer").otherwise("float")
     return facts.select("column", verdict.alias("numeric_text"))
 
 
 def date_pattern_share(df: DataFrame) -> DataFrame:
-    """Share of the known values of each text column that look like dates, and the verdict."""
-    facts = column_facts(df).where((F.col("storage") == "text") & (F.col("missing") < F.col("total")))
+    """Share of the known values of each text column that look like dates, and the verdict; one row per task is shuffled."""
+    facts = accumulated(df).where((F.col("storage") == "text") & (F.col("missing") < F.col("total")))
     share = F.col("date_rows") / (F.col("total") - F.col("missing"))
     return facts.select("column", share.alias("date_share"), (share >= DATE_SHARE).alias("is_datetime"))
 
 
 def binary_pairs(df: DataFrame) -> DataFrame:
-    """Columns that hold exactly one of the recognised word pairs."""
-    facts = column_facts(df).where(F.col("n_unique") == 2)
+    """Columns that hold exactly one of the recognised word pairs.
+
+    A column has two values if its ends differ and a second scan meets nothing else, so
+    no values are made distinct.
+    """
+    ends = scalars(df, **{f"_{side}{i}": pick(text_form(f)) for i, f in enumerate(df.schema) for side, pick in (("a", F.min), ("b", F.max))})
+    marked = df.withColumn("_ends", ends)
+    between = [
+        F.count_if((text_form(f) != F.col(f"_ends._a{i}")) & (text_form(f) != F.col(f"_ends._b{i}"))).alias(f"_n{i}") for i, f in enumerate(df.schema)
+    ]
+    rows = marked.agg(F.first("_ends").alias("_ends"), *between)
+    listed = [
+        F.struct(
+            F.lit(f.name).alias("column"), F.col(f"_ends._a{i}").alias("a"), F.col(f"_ends._b{i}").alias("b"), F.col(f"_n{i}").alias("others")
+        )
+        for i, f in enumerate(df.schema)
+    ]
+    two = rows.select(F.explode(F.array(*listed)).alias("r")).select("r.*").where((F.col("a") != F.col("b")) & (F.col("others") == 0))
+    ends = [F.lower(F.trim("a")), F.lower(F.trim("b"))]
+    found = two.select("column", F.least(*ends).alias("low"), F.greatest(*ends).alias("high"))
     match = reduce(lambda a, b: a | b, [(F.col("low") == lo) & (F.col("high") == hi) for lo, hi in BINARY_PAIRS])
-    return facts.select("column", "low", "high", F.coalesce(match, F.lit(False)).alias("is_binary"))
+    return found.select("column", "low", "high", F.coalesce(match, F.lit(False)).alias("is_binary"))
 
 
 def whole_numbers(df: DataFrame) -> DataFrame:
@@ -205,14 +271,31 @@ def schema_json(schema: T.StructType) -> dict:
     return {"fields": {f.name: entry(f) for f in schema}}
 
 
+def lowest_values(df: DataFrame, values: DataFrame, count: int = SAMPLE_VALUES) -> DataFrame:
+    """(column, value): the ``count`` lowest distinct values of each column.
+
+    Heads order as their values do, so the lowest heads, ties included, have the lowest
+    values among them.  Only long values among those are fetched, by their digests.
+    """
+    by_head = W.partitionBy("column").orderBy("head")
+    # The rank filter is applied within each task before the shuffle.
+    low = values.where(F.col("head").isNotNull()).withColumn("r", F.rank().over(by_head)).where(F.col("r") <= count)
+    short = low.where(F.col("digest").isNull()).select("column", F.col("head").alias("value"))
+    texts = [f for f in df.schema if _storage(f.dataType) == "text"]
+    if texts:
+        cells = F.array(*[F.struct(F.lit(f.name).alias("column"), text_form(f).alias("value")) for f in texts])
+        long = df.select(F.explode(F.filter(cells, lambda c: F.length(c["value"]) > HEAD)).alias("cell")).select("cell.*")
+        wanted = low.where(F.col("digest").isNotNull()).select("column", "head", "digest")
+        fetched = long.withColumns(dict(zip(("head", "digest"), _known_by(F.col("value")), strict=True))).join(wanted, ["column", "head", "digest"], "left_semi")
+        short = short.unionByName(fetched.select("column", "value").distinct())
+    by_value = W.partitionBy("column").orderBy("value")
+    return short.withColumn("r", F.row_number().over(by_value)).where(F.col("r") <= count).select("column", "value")
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Kind, missing count and share, distinct count and the ten lowest values of each column."""
     values = column_values(df)
-    first = W.partitionBy("column").orderBy("value")
-    # The rank filter is applied within each task before the shuffle, so a column
-    # sends at most ten values per task.
-    few = values.where(F.col("value").isNotNull()).withColumn("r", F.row_number().over(first)).where(F.col("r") <= SAMPLE_VALUES)
-    samples = few.groupBy("column").agg(
+    samples = lowest_values(df, values).groupBy("column").agg(
         F.array_join(F.array_sort(F.collect_list("value")), " | ").alias("samples")
     )
     kind, vtype = kind_and_type()
