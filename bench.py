@@ -3,8 +3,8 @@
 Reads ``$BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``) on
 ``local[$BENCH_CPUS]``.  Every query runs over its whole tables and writes its
 full result to a sink that discards it.  Each runs twice, from building the plan
-to the last row, and the faster run counts: the first one also pays for starting
-Python workers and compiling generated code.
+to the last row, with nothing cached, and the faster run counts: the first one also
+pays for starting Python workers and compiling generated code.
 """
 
 from __future__ import annotations
@@ -55,6 +55,7 @@ def main() -> None:
     for name in names:
         runs = []
         for _ in range(2):
+            spark.catalog.clearCache()
             start = time.perf_counter()
             QUERIES[name].run(spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.weeks import month_of, weeks_between
 from tidemark.operators.churn import with_top_segments
 from tidemark.operators.relational import active_only, any_present, is_active, largest, numeric_columns
-from tidemark.operators.scale import exact_quantiles, kept, ranked_values, scalars
+from tidemark.operators.scale import exact_quantiles, ranked_values, scalars, settled
 
 DURATION_EDGES = (13, 26, 52, 104)
 DURATION_LABELS = ("< 3 months", "3-6 months", "6-12 months", "1-2 years", "> 2 years")
@@ -349,7 +349,7 @@ def active_summary(
     accounts: DataFrame, weekly: DataFrame, risk: DataFrame | None = None, top_n: int = 5, score: str = "risk_score"
 ) -> DataFrame:
     """Headline figures of the active accounts as one row; the accounts are computed once."""
-    accounts = kept(accounts)
+    accounts = settled(accounts, "accounts")
     active = active_only(accounts)
     row = accounts.agg(
         F.count(F.lit(1)).alias("total_customers"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.weeks import calendar_parts, date_to_week, month_of, weeks_between
 from tidemark.operators.relational import churned_only, largest
-from tidemark.operators.scale import exact_quantiles, kept, scalars
+from tidemark.operators.scale import exact_quantiles, scalars, settled
 
 
 def first_active_week(usage: DataFrame, key: str = "account_id", week: str = "yyyywk") -> DataFrame:
@@ -237,7 +237,7 @@ def churn_summary(
     accounts: DataFrame, first_week: DataFrame, risk: DataFrame | None = None, top_n: int = 5, score: str = "risk_score"
 ) -> DataFrame:
     """All headline churn figures as one row; the accounts are computed once."""
-    accounts = kept(accounts)
+    accounts = settled(accounts, "accounts")
     row = churn_totals(accounts)
     parts = [monthly_churn_stats(accounts), lifespan_stats(accounts, first_week), yearly_trend(accounts)]
     if risk is not None:

@@ -70,8 +70,7 @@ def clean_usage(usage: DataFrame, since: str = "2020-01-01", mode: str = "column
     distinct step: the grouping by account and week absorbs them.
     """
     recent = usage.where(F.col("contract_start") >= F.lit(since).cast("date"))
-    canonical = recent.withColumn("line_items", canonical_list("line_items"))
-    return dedupe_most_complete(canonical, ["account_id", "yyyywk"], "line_items", mode)
+    return dedupe_most_complete(recent, ["account_id", "yyyywk"], "line_items", mode, normal=canonical_list)
 
 
 def sum_by_key_date(df: DataFrame, key: str, date: str, metrics: list[str] | None = None) -> DataFrame:
@@ -134,16 +133,13 @@ def financial_timeline(b: Bundle) -> DataFrame:
 STANDARD_METRICS = {"payment": ["functional_amount"], "revenue": ["revline_total"], "txn": ["amount_due"]}
 
 
-def _dated_parts(b: Bundle, usage: DataFrame, metrics: dict[str, list[str]] | None) -> list[DataFrame]:
-    """Every source as rows of (account, day, its own columns), ready to be stacked.
+def _dated_parts(b: Bundle, taken: set[str], metrics: dict[str, list[str]] | None) -> list[DataFrame]:
+    """Payments, revenue, transactions and contract lines as rows of (account, day, their own columns), ready to be stacked.
 
     Facts are summed per account and day.  Repeated fact rows count once; dealing rows
     by account and day serves both the search for repeats and the sum, so raw facts
-    are shuffled once.  A metric that an earlier source has too gets its source's name
-    in front.  ``_slot`` keeps usage of an unreadable week apart, row by row;
-    ``_dated`` marks what does not come from usage.
+    are shuffled once.  A metric whose name is taken gets its source's name in front.
     """
-    taken: set[str] = set(usage.columns) | {"account_id", "month", "line_start"}
 
     def facts(source: str, df: DataFrame, key: str, date: str) -> DataFrame:
         chosen = numeric_columns(df, exclude=(key, date)) if metrics is None else metrics[source]
@@ -152,35 +148,42 @@ def _dated_parts(b: Bundle, usage: DataFrame, metrics: dict[str, list[str]] | No
         names = {c: f"{source}_{c}" if c in taken else c for c in summed.columns if c not in (key, date)}
         taken.update(names.values())
         columns = [F.col(c).alias(n) for c, n in names.items()]
-        return summed.select(F.col(key).alias("account_id"), F.col(date).alias("month"), date, *columns, F.lit(True).alias("_dated"))
+        return summed.select(F.col(key).alias("account_id"), F.col(date).alias("month"), date, *columns)
 
-    lines = b.contract_line.select("account_id", F.col("line_start").alias("month"), "line_start", F.lit(True).alias("_dated")).distinct()
-    weeks = nan_to_null(usage).withColumn("usage_month", week_midpoint("yyyywk")).withColumns(
-        {"month": F.col("usage_month"), "_slot": F.when(F.col("usage_month").isNull(), F.col("yyyywk"))}
-    )
     return [
         facts("payment", b.payment, "customer_no", "receipt_date"),
         facts("revenue", b.revenue, "account_id", "invoice_date"),
         facts("txn", b.txn, "account_number", "trx_date"),
-        lines,
-        weeks,
+        b.contract_line.select("account_id", F.col("line_start").alias("month"), "line_start").distinct(),
     ]
 
 
 def timeline(b: Bundle, since: str, metrics: dict[str, list[str]] | None = None) -> DataFrame:
-    """All dated sources of the known accounts side by side, one row per account and day.
+    """All dated sources of the known accounts side by side, one row per account and day; ``_dated`` if not of usage alone.
 
     Each source has at most one row per account and day once its facts are
-    summed, so the chain of full outer joins on account and day is the same as
-    stacking the sources and grouping once: one shuffle of small rows instead of
-    one per join.  ``metrics`` lists what to sum per source; without it, all
-    numeric columns are summed.
+    summed, so a chain of full outer joins on account and day is the same as
+    stacking the sources and grouping once.  All they hold are numbers and days, which
+    a hash aggregate combines before and after its shuffle.  Usage, with its texts, is
+    one row per account and week by then and meets them in one join; usage of an
+    unreadable week meets nothing.  ``metrics`` lists what to sum per source; without
+    it, all numeric columns are summed.
     """
-    parts = _dated_parts(b, clean_usage(b.usage, since), metrics)
+    usage = nan_to_null(clean_usage(b.usage, since)).withColumn("usage_month", week_midpoint("yyyywk"))
+    parts = _dated_parts(b, {*usage.columns, "month", "line_start"}, metrics)
     stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
-    rest = [c for c in stacked.columns if c not in ("account_id", "month", "_slot")]
-    grouped = stacked.groupBy("account_id", "month", "_slot").agg(*[F.max(c).alias(c) for c in rest]).drop("_slot")
-    return grouped.join(b.account.select("account_id"), "account_id", "left_semi")
+    rest = [c for c in stacked.columns if c not in ("account_id", "month")]
+    dated = stacked.groupBy("account_id", "month").agg(*[F.max(c).alias(c) for c in rest]).withColumn("_dated", F.lit(True))
+    weeks = usage.withColumnsRenamed({"account_id": "_account", "usage_month": "_month"})
+    both = (F.col("account_id") == F.col("_account")) & (F.col("month") == F.col("_month"))
+    joined = dated.join(weeks, both, "full").select(
+        F.coalesce("account_id", "_account").alias("account_id"),
+        F.coalesce("month", "_month").alias("month"),
+        *rest,
+        "_dated",
+        *[F.col("_month").alias(c) if c == "usage_month" else F.col(c) for c in usage.columns if c != "account_id"],
+    )
+    return joined.join(b.account.select("account_id"), "account_id", "left_semi")
 
 
 def _lifetime(merged: DataFrame, as_of: str | None) -> DataFrame:

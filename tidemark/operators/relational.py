@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.coerce import is_numeric
 from tidemark.functions.weeks import as_column, date_to_week
@@ -219,6 +222,10 @@ def first_present_per_key(df: DataFrame, keys: list[str], columns: list[str], or
     return df.dropna(subset=keys).groupBy(*keys).agg(*_first_present(columns, order))
 
 
+#: Types whose running minimum a hash aggregate keeps in place.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def _first_present(columns: list[str], order: list[Column]) -> list[Column]:
     fields = [o.alias(f"_o{i}") for i, o in enumerate(order)]
     return [
@@ -227,21 +234,34 @@ def _first_present(columns: list[str], order: list[Column]) -> list[Column]:
 
 
 def dedupe_most_complete(
-    df: DataFrame, keys: list[str], length_of: str, mode: str = "column"
+    df: DataFrame, keys: list[str], length_of: str, mode: str = "column", normal: Callable[[Column], Column] | None = None
 ) -> DataFrame:
     """One row per key, preferring the longest ``length_of`` text.
 
     ``mode='column'`` fills each column with its first non-NULL value in that
-    order; ``mode='row'`` keeps one whole row.
+    order; ``mode='row'`` keeps one whole row.  Texts of equal length go by the
+    alphabet, equal texts by the smaller value.  ``normal`` is applied to the texts first.
+
+    By column, rows of a key that have the same text are combined before anything is
+    shuffled, in fixed-width buffers; the text travels once with each of them, as a key,
+    and is normalised then.  Ranks stand for texts in what follows.
     """
-    length = -F.coalesce(F.length(length_of), F.lit(-1))
+    prepared = normal or (lambda c: c)
     if mode == "row":
+        df = df.withColumn(length_of, prepared(F.col(length_of)))
+        length = -F.coalesce(F.length(length_of), F.lit(-1))
         return dedupe_keep_first(df, keys, [length, *nulls_last(length_of)])
     rest = [c for c in df.columns if c not in (*keys, length_of)]
-    # A text without a length is NULL, so the length alone puts it last.
-    longest = F.min(F.when(F.col(length_of).isNotNull(), F.struct(length.alias("_l"), F.col(length_of).alias("v"))))
-    picks = [longest.getField("v").alias(length_of), *_first_present(rest, [length, F.col(length_of)])]
-    return df.dropna(subset=keys).groupBy(*keys).agg(*picks).select(*df.columns)
+    # Values that no fixed-width buffer can hold are keys of the first grouping.
+    wide = [c for c in rest if not isinstance(df.schema[c].dataType, FIXED_WIDTH)]
+    grouped = df.dropna(subset=keys).groupBy(*keys, length_of, *wide)
+    narrow = [c for c in rest if c not in wide]
+    texts = (grouped.agg(*[F.min(c).alias(c) for c in narrow]) if narrow else grouped.agg(F.lit(1).alias("_"))).withColumn(
+        length_of, prepared(F.col(length_of))
+    )
+    by_text = W.partitionBy(*keys).orderBy(F.length(length_of).desc_nulls_last(), length_of)
+    ranked = texts.withColumn("_r", F.rank().over(by_text))
+    return ranked.groupBy(*keys).agg(*_first_present([length_of, *rest], [F.col("_r")])).select(*df.columns)
 
 
 # --- sort, top, sets ----------------------------------------------------------------

@@ -8,7 +8,6 @@ then cut the value range into slots whose totals are small tables.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,11 +17,6 @@ from tidemark.session import scratch_path
 _SLOTS = 4096
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """The frame, computed once for all the figures taken from it; callers may ``unpersist`` it."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def settled(df: DataFrame, name: str = "step") -> DataFrame:
     """The frame written as a table in the shared folder and read back.
 

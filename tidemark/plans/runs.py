@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from tidemark.operators import features as X
 from tidemark.operators.merge import STANDARD_METRICS, Bundle, merge_sources
 from tidemark.operators.relational import drop_existing
-from tidemark.operators.scale import kept
+from tidemark.operators.scale import settled
 
 
 @dataclass(frozen=True)
 class Load:
-    """The tables of a load.  All are lazy; each asks only for the columns it needs."""
+    """The tables of a load.
+
+    The merge is written once, as the step that all others read; they are lazy and each
+    asks only for the columns it needs.
+    """
 
     merged: DataFrame
     weekly: DataFrame
@@ -28,7 +32,7 @@ class Load:
 
 def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
     """All accounts; weeks after a churn are guarded out; statics hold the time to churn."""
-    merged = kept(merge_sources(bundle, since, metrics=STANDARD_METRICS))
+    merged = settled(merge_sources(bundle, since, metrics=STANDARD_METRICS), "merged")
     weekly = X.leak_guard(X.weekly_features(merged, since), bundle.account)
     static = X.static_features(merged, X.TRAIN_STATIC)
     rollup = X.entity_rollup(weekly)
@@ -41,7 +45,7 @@ def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
 def live_load(bundle: Bundle, since: str = "2020-01-01", as_of: str = "2020-01-01") -> Load:
     """Accounts that have not churned; time is measured up to ``as_of``; nothing is filled in."""
     live = bundle.live()
-    merged = kept(merge_sources(live, since, as_of=as_of, metrics=STANDARD_METRICS))
+    merged = settled(merge_sources(live, since, as_of=as_of, metrics=STANDARD_METRICS), "merged")
     weekly = X.weekly_features(merged, since)
     static = X.static_features(merged, X.LIVE_STATIC, fill_missing=False)
     rollup = X.entity_rollup(weekly)
