@@ -4,11 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import churn, compare, features, merge, quality, trend
+from tidemark.operators import activity, churn, compare, features, merge, quality, trend
 from tidemark.operators import relational as R
 from tidemark.operators.activity import histogram, readiness, weekly_active, weekly_metric_stats
 from tidemark.plans.inputs import START, Inputs
 from tidemark.sources import files, schemas, tables
+from tidemark.streaming import weekly
 from tests.conftest import rows
 
 DAY = dt.date(2020, 1, 1)
@@ -288,6 +289,52 @@ def test_csv_reading(spark, tmp_path):
     assert files.keep_list("(=) total a\n(+) c\nno mark b", ["a", "b", "c", "d"]) == ["a", "c"]
 
 
+def test_folder_of_written_csvs(spark, tmp_path):
+    """Folders of parts count as CSVs, one folder name inside another too; a schema put down by Spark is found and read."""
+    folder = str(tmp_path / "csv" / "csv")
+    files.write_csv(spark.range(3), f"{folder}/three rows.csv")
+    files.write_csv(spark.range(2).repartition(2), f"{folder}/csv.csv")
+    spark.range(0).coalesce(1).write.csv(f"{folder}/broken.csv")
+    got, failed = files.read_csv_dir(spark, folder)
+    assert {n: df.count() for n, df in got.items()} == {"three rows": 3, "csv": 2} and failed == ["broken"]
+    schemas.save_schema(spark, {"fields": {"a": {"type": "int"}}}, f"{folder}/raw/t_schema.json")
+    assert schemas.load_schema(schemas.find_schema("t", f"file://{folder}", "join_rules")) == {"fields": {"a": {"type": "int"}}}
+
+
+def test_bitmaps_count_as_distinct(spark):
+    data = [(k % 3, k * 7919 % 100_000, int(k % 5 == 0)) for k in range(3000)] + [(0, None, 0), (None, 1, 0), (1, 5, None), (2, -4, 0), (2, -4, 0)]
+    df = spark.createDataFrame(data, "yyyywk int, account_id long, churned_flag int")
+    want = {w: len({k for x, k, f in data if x == w and f == 0 and k is not None}) for w in (0, 1, 2)}
+    bitmaps = activity.active_bitmaps(df)
+    assert {r["period"]: r["active_customers"] for r in activity.active_per_period(bitmaps, F.col("yyyywk")).collect()} == want
+    every = len({k for w, k, f in data if w is not None and f == 0 and k is not None})
+    assert activity.active_per_period(bitmaps, F.lit(1)).first()["active_customers"] == every
+    assert activity.active_bitmaps(df.limit(0)).count() == 0
+
+
+def test_stream_closes_weeks_and_leaves_late_rows_out(spark, tmp_path):
+    events, table, state = (str(tmp_path / n) for n in ("events", "table", "state"))
+
+    def arrive(*data):
+        spark.createDataFrame(data, "ts timestamp, user_id long, value double").coalesce(1).write.mode("append").parquet(events)
+
+    def run():
+        weekly.drain(weekly.weekly_blocks(weekly.event_stream(spark, events)), table, state)
+        return rows(weekly.weekly_activity(spark.read.schema("week date, bucket long, bits binary, events long, total double").parquet(table)))
+
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    arrive((day(1), 1, 1.0), (day(7, 23), 40_000, 2.0), (day(3), 1, 4.0), (day(3), None, 8.0), (None, 9, 1.0), (day(8), 1, 1.0))
+    assert run() == []
+    arrive((day(2), 2, 16.0), (day(10), 2, 1.0))
+    first = (dt.date(2024, 1, 1), 5, 31.0, 3)
+    assert run() == [first]
+    arrive((day(5), 3, 100.0), (day(9), 3, 1.0))
+    assert run() == [first]
+    arrive((day(20), 3, 1.0))
+    assert run() == [first, (dt.date(2024, 1, 8), 3, 3.0, 3)]
+    assert run() == [first, (dt.date(2024, 1, 8), 3, 3.0, 3)]
+
+
 def test_failed_exports_are_listed(spark, tmp_path):
     good = spark.range(3)
     bad = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))

@@ -59,6 +59,25 @@ def weekly_active(
     return pairs.groupBy(week).agg(F.count_if(F.col("_a") & F.col(key).isNotNull()).alias("active_customers"))
 
 
+def active_bitmaps(df: DataFrame, week: str = "yyyywk", key: str = "account_id", flag: str = "churned_flag") -> DataFrame:
+    """(week, bucket, bits): the active accounts of each week as bitmaps of 32,768 whole-number keys each.
+
+    Bitmaps are made within each task, so a week's rows are shuffled as a few kilobytes
+    per bucket whatever their number, and they merge: coarser periods need no second
+    scan.
+    """
+    active = df.where((F.col(flag) == 0) & F.col(key).isNotNull()).dropna(subset=[week])
+    return active.groupBy(week, F.bitmap_bucket_number(key).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bits")
+    )
+
+
+def active_per_period(bitmaps: DataFrame, period: Column, name: str = "period") -> DataFrame:
+    """Exact number of distinct active accounts per period, from weekly bitmaps."""
+    merged = bitmaps.groupBy(period.alias(name), "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy(name).agg(F.sum(F.bitmap_count("bits")).alias("active_customers"))
+
+
 def weekly_overview(df: DataFrame, metrics: list[str], docs: str = "documents_opened") -> DataFrame:
     """Weekly totals, distinct accounts and documents per account (0 when unknown)."""
     per_account = df.groupBy("yyyywk", "account_id").agg(*[F.sum(m).alias(m) for m in metrics])

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.weeks import week_midpoint
 from tidemark.operators import activity as A
 from tidemark.operators.relational import active_only
+from tidemark.operators.scale import settled
 from tidemark.plans.expression_queries import monday_sql
 from tidemark.plans.inputs import Inputs, week_sql
 from tidemark.plans.registry import add, longs, rounded, shown
@@ -47,6 +49,24 @@ add(
     ),
     """SELECT yyyywk::BIGINT AS yyyywk, count(DISTINCT account_id) FILTER (WHERE churned_flag = 0) AS active_customers, true AS close FROM weekly GROUP BY 1""",
 )
+
+
+def active_at_two_grains(t: Inputs) -> DataFrame:
+    """Active accounts per week and per month of the weeks' middle days, from one table of bitmaps."""
+    bitmaps = settled(A.active_bitmaps(t.weekly), "bitmaps")
+    weeks = A.active_per_period(bitmaps, F.col("yyyywk").cast("long")).withColumn("grain", F.lit("week"))
+    month = F.date_format(week_midpoint("yyyywk"), "yyyyMM").cast("long")
+    return weeks.unionByName(A.active_per_period(bitmaps, month).withColumn("grain", F.lit("month")))
+
+
+add(
+    "active_by_week_and_month", "A26",
+    active_at_two_grains,
+    """WITH active AS (SELECT DISTINCT yyyywk::BIGINT AS yyyywk, account_id FROM weekly WHERE churned_flag = 0 AND account_id IS NOT NULL)
+        SELECT 'week' AS grain, yyyywk AS period, count(*) AS active_customers FROM active GROUP BY yyyywk UNION ALL
+        SELECT 'month', strftime(CAST(date_trunc('week', make_date(yyyywk // 100, 1, 4)) AS DATE) + CAST((yyyywk % 100 - 1) * 7 + 2 AS INTEGER), '%Y%m')::BIGINT AS m,
+        count(DISTINCT account_id) FROM active GROUP BY m""",
+)
 add(
     "weekly_overview", "A24 A27 P10",
     lambda t: shown(A.weekly_overview(t.weekly, ["documents_opened", "storage_mb"])),

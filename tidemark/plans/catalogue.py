@@ -9,6 +9,7 @@ from tidemark.plans import (  # noqa: F401
     join_queries,
     quality_queries,
     source_queries,
+    streaming_queries,
     trend_queries,
 )
 from tidemark.plans.registry import QUERIES, Query

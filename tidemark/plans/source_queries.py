@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,9 +99,18 @@ add(
     f"""WITH dirty AS ({DIRTY_ORDERS}) SELECT CAST(o_orderkey AS BIGINT) AS account_id,
         CASE paid WHEN 'Y' THEN 1 WHEN 'no' THEN 0 END::BIGINT AS churned_flag, o_orderstatus FROM dirty""",
 )
+
+
+def looked_up_schema(t: Inputs) -> DataFrame:
+    """The schema inferred from a table, put down for joined data and found from the raw context, which falls back on it."""
+    base = scratch_path(t.spark, "schemas")
+    schemas.save_schema(t.spark, schema_json(infer_schema(t.raw("customer"))), f"{base}/join_rules/customer_schema.json")
+    return schemas.schema_fields(t.spark, schemas.load_schema(schemas.find_schema("customer", base, "raw")))
+
+
 add(
     "schema_listing", "S8 S9",
-    lambda t: schemas.schema_fields(t.spark, schema_json(infer_schema(t.raw("customer")))),
+    looked_up_schema,
     """SELECT c AS "column", ty AS type, s AS spark_type, nullable FROM (VALUES ('c_custkey', 'int', 'bigint', false),
         ('c_name', 'str', 'string', false), ('c_nationkey', 'int', 'bigint', false), ('c_acctbal', 'float', 'double', false),
         ('c_mktsegment', 'str', 'string', false)) v(c, ty, s, nullable)
@@ -145,18 +156,25 @@ add(
 
 
 def csv_folder(t: Inputs) -> DataFrame:
+    """Rows and columns of each CSV of a folder, one of which has not even a header."""
     path = scratch_path(t.spark, "csvdir")
     for name in ("nation", "supplier"):
         files.write_csv(t.raw(name), f"{path}/{name}.csv")
-    parts = {name: files.read_csv(t.spark, f"{path}/{name}.csv") for name in ("nation", "supplier")}
-    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows", F.lit(len(df.columns)).cast("long").alias("columns")) for n, df in parts.items()]
-    return counts[0].unionByName(counts[1])
+    t.raw("nation").limit(0).coalesce(1).write.csv(f"{path}/broken.csv")
+    found, failed = files.read_csv_dir(t.spark, path)
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"))
+        for n, df in sorted(found.items())
+    ]
+    none = t.spark.createDataFrame([(n, 0, 0) for n in failed], "table string, rows long, columns long")
+    return reduce(DataFrame.unionByName, [none, *counts])
 
 
 add(
     "csv_folder", "S12",
     csv_folder,
-    """SELECT 'nation' AS "table", count(*) AS rows, 3::BIGINT AS columns FROM nation UNION ALL SELECT 'supplier', count(*), 4 FROM supplier""",
+    """SELECT 'nation' AS "table", count(*) AS rows, 3::BIGINT AS columns FROM nation UNION ALL SELECT 'supplier', count(*), 4 FROM supplier
+        UNION ALL SELECT 'broken', 0, 0""",
 )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,14 +50,20 @@ def read_csv_described(spark: SparkSession, path: str, metadata: str) -> DataFra
 
 
 def read_csv_dir(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
-    """Every CSV of a folder by file stem, each with its own columns, and the names that failed."""
-    listed = spark.read.option("pathGlobFilter", "*.csv").text(folder).inputFiles()
+    """Every CSV of a folder by stem, each with its own columns, and the names that failed; one failure stops no other.
+
+    A CSV is a file, or a folder of parts as Spark writes them, on any store.
+    """
+    options = {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
+    top = urlparse(folder if "://" in folder else os.path.abspath(folder)).path.rstrip("/") + "/"
+    listed = spark.read.options(**options).text(folder).inputFiles()
+    inside = [unquote(urlparse(f).path).removeprefix(top) for f in listed]
     tables: dict[str, DataFrame] = {}
     failed = []
-    for path in sorted(listed):
-        stem = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
+    for name in sorted({f.split("/", 1)[0] for f in inside}):
+        stem = name.removesuffix(".csv")
         try:
-            df = read_csv(spark, path)
+            df = read_csv(spark, f"{folder}/{name}")
             if not df.columns:
                 raise ValueError("no columns")
             tables[stem] = df

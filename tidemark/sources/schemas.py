@@ -11,6 +11,7 @@ import json
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,18 +119,38 @@ def find_schema(
     table: str, base_dir: str, context: str = "raw", override: str | None = None, fallbacks: tuple[str, ...] = ()
 ) -> str:
     """Path of a table's schema file: the override if it exists, else by context, else the fallbacks."""
-    if override and os.path.exists(override):
+    if override and _exists(override):
         return override
     if context not in SEARCH_ORDERS:
         raise ValueError(f"context must be one of {sorted(SEARCH_ORDERS)}")
     places = [os.path.join(base_dir, d) for d in SEARCH_ORDERS[context]] + list(fallbacks)
     tried = [os.path.join(p, f"{table}_schema.json") for p in places]
     for path in tried:
-        if os.path.exists(path):
+        if _exists(path):
             return path
     raise FileNotFoundError(f"no schema for {table}; looked at {tried}")
 
 
 def load_schema(path: str) -> dict:
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+    """A schema file's content; what is no local file, a folder of parts or a remote path, Spark reads."""
+    if os.path.isfile(path):
+        with open(path, encoding="utf-8") as f:
+            return json.load(f)
+    return json.loads(SparkSession.active().read.text(path, wholetext=True).first()[0])
+
+
+def save_schema(spark: SparkSession, schema: dict, path: str) -> None:
+    """Write a schema file where ``load_schema`` finds it, on any store."""
+    spark.createDataFrame([(json.dumps(schema),)], "value string").coalesce(1).write.text(path)
+
+
+def _exists(path: str) -> bool:
+    if os.path.exists(path):
+        return True
+    if "://" not in path:
+        return False
+    try:
+        SparkSession.active().read.text(path)
+    except AnalysisException:
+        return False
+    return True
