@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from tidemark.plans.catalogue import QUERIES
+from tidemark.sources import files, schemas
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check_sql import TABLES, canonical  # noqa: E402
@@ -41,3 +42,11 @@ def test_the_inventory_is_covered():
     operators = {i for i in ids if i[0] not in "QT"}
     covered = {c for q in QUERIES.values() for c in q.covers}
     assert operators - covered == set()
+
+
+@pytest.mark.parametrize("query,module,operator", [("schema_listing", schemas, "find_schema"), ("schema_listing", schemas, "load_schema"), ("csv_folder", files, "read_csv_dir")])
+def test_query_calls_its_operator(spark, monkeypatch, query, module, operator):
+    calls, plain = [], getattr(module, operator)
+    monkeypatch.setattr(module, operator, lambda *a, **k: calls.append(a) or plain(*a, **k))
+    QUERIES[query].run(spark, FOLDER)
+    assert calls

@@ -71,6 +71,22 @@ def test_group_stats_reach_every_row(spark):
     assert rows(scale.attach_group_stats(df, ["k"], top=F.max("v"))) == [(None, 9, None), ("a", 1, 3), ("a", 3, 3), ("b", 2, 2)]
 
 
+def test_hot_keys_fan_out_over_parts(spark):
+    """A key with a third of all rows and a thousand partners: the same rows as a plain join, in tasks of bounded output."""
+    left = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"), (F.col("id") % 7 > 0).alias("seeks"))
+    left = left.unionByName(spark.createDataFrame([(None, -1, True), (None, -2, False)], "k long, v long, seeks boolean"))
+    right = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("w"))
+    got = scale.fan_out_join(left, right, "k", F.col("seeks"), pairs_per_part=100_000)
+    r = right.withColumnRenamed("k", "rk")
+    want = left.join(r, (F.col("k") == F.col("rk")) & F.col("seeks"), "left").drop("rk")
+    assert got.columns == want.columns and got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+    assert scale.fan_out_join(left, right.limit(0), "k").count() == left.count()
+    parts = left.where("k = 0 and seeks").count() * 1000 // 100_000
+    tasks = got.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert parts > 20 and len(tasks) > 1
+
+
 def names(n, seed, alphabet="abcdefg "):
     rng = np.random.default_rng(seed)
     base = ["".join(rng.choice(list(alphabet), rng.integers(1, 16))) for _ in range(n)]

@@ -19,7 +19,7 @@ from tidemark.operators.relational import (
     keep_known,
     numeric_columns,
 )
-from tidemark.operators.scale import attach_group_stats
+from tidemark.operators.scale import attach_group_stats, fan_out_join
 
 
 @dataclass(frozen=True)
@@ -211,7 +211,8 @@ def merge_sources(
     Of payments, revenue and transactions all numeric columns are summed, or those
     that ``metrics`` lists per source.
 
-    ``renewals='rows'`` repeats every row for each renewal of its account.
+    ``renewals='rows'`` repeats every row for each renewal of its account; an account
+    with many rows and many renewals is dealt over many tasks.
     ``'bounds'`` carries one row of renewal bounds instead, which leaves all
     later results the same and cannot blow up on an account with many renewals.
     Renewals and risk go to the rows that have a payment, invoice, transaction
@@ -232,7 +233,9 @@ def merge_sources(
     # The flag sits in the join condition, not in the key: usage-only rows keep their
     # account's hash and find no partner.
     merged = dated
-    for other in (cover, risk):
+    if renewals == "rows":
+        merged = fan_out_join(merged, cover, "account_id", F.coalesce("_dated", F.lit(False)))
+    for other in (risk,) if renewals == "rows" else (cover, risk):
         other = other.withColumnRenamed("account_id", "_k")
         merged = merged.join(other, (F.col("account_id") == F.col("_k")) & F.col("_dated"), "left").drop("_k")
     merged = merged.drop("_dated")

@@ -10,6 +10,7 @@ from tidemark.functions.weeks import date_to_week
 from tidemark.operators import match, merge
 from tidemark.operators import relational as R
 from tidemark.operators.activity import weekly_activity
+from tidemark.operators.scale import fan_out_join
 from tidemark.plans.inputs import START, Inputs, week_sql
 from tidemark.plans.registry import add, longs, rounded, shown
 
@@ -137,8 +138,10 @@ add(
 add(
     "renewal_fan_out", "J5 W2",
     lambda t: longs(
-        t.account.select("account_id", "segment").join(
-            merge.with_bounds(R.keep_known(t.renewal.distinct(), "bill_to", t.account), "account_id", "coverage_start", "coverage_end", "renewal"), "account_id", "left"
+        fan_out_join(
+            t.account.select("account_id", "segment"),
+            merge.with_bounds(R.keep_known(t.renewal.distinct(), "bill_to", t.account), "account_id", "coverage_start", "coverage_end", "renewal"),
+            "account_id",
         )
     ),
     """WITH w AS (SELECT *, min(coverage_start) OVER (PARTITION BY bill_to) AS renewal_earliest, max(coverage_end) OVER (PARTITION BY bill_to) AS renewal_latest
