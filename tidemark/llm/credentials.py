@@ -33,6 +33,7 @@ columns are addressed by name.  Positions count code points, ends are exclusive.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -43,6 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+
 KINDS = ("assign", "access", "hex", "model")
 BASE = KINDS[:3]
 ROWS, CHARS, RECALL, HARM, SEED = 1500, 20_000, 0.95, 0.001, 11
@@ -72,6 +75,9 @@ Span = tuple[str, int, int]
 BEFORE, AFTER, WINDOW, STEP = 16, 8, 48, 24
 WIDTH, FILTERS = 5, 24
 
+#: Windows that the network reads at once; each takes some 30 KB as it does.
+VIEWS = 1024
+
 #: Groups of characters that share a one-hot place; anything else has the last one.
 GROUPS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/", "_-", "=", ":", "\"'", " ", "\n", ".,;!?", "@", "#$%&*|<>()[]{}")
 _PLACE = {c: i for i, group in enumerate(GROUPS) for c in group}
@@ -245,13 +251,22 @@ def fit(codes: np.ndarray, y: np.ndarray, recall: float = RECALL, harm: float =
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = ROWS, chars: int = CHARS, recall: float = RECALL) -> Network | None:
-    """The network trained on the findings in at most ``rows`` documents; None without any."""
+    """The network trained on the findings in at most ``rows`` documents; None, with a warning, without any.
+
+    The documents are those with cues whose hashes are least.  They are counted first, so
+    that each task passes on only hashes that can be among them: what reaches the driver
+    does not grow with the input.
+    """
     low = F.lower("__text")
     cue = F.contains(F.col("__text"), F.lit("AKIA"))
     for name in NAMES:
         cue = cue | F.contains(low, F.lit(name))
-    source = docs.select(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(SEED)).alias("__order"), F.col(f"`{text}`").alias("__text"))
-    sample = source.filter(F.length("__text") <= chars).filter(cue).orderBy("__order", "__text").limit(rows)
+    source = docs.select(F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.lit(SEED)).alias("__order"), F.col(f"`{text}`").alias("__text"))
+    cued = source.filter(F.length("__text") <= chars).filter(cue)
+    # Twice as many as are wanted lie below the bound, give or take a few in a hundred.
+    share = 2 * rows / max(cued.count(), 1)
+    near = cued if share >= 1 else cued.filter(F.col("__order") < int(share * 2**64) - 2**63)
+    sample = near.orderBy("__order", "__text").limit(rows)
     codes, y = [], []
     for row in sample.collect():
         t = row["__text"]
@@ -265,6 +280,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int
                 codes += seen
                 y += [label] * len(seen)
     if min(y.count(0), y.count(1)) < 10:
+        warnings.warn("no network for secrets: too few findings to learn from, base patterns alone decide", stacklevel=2)
         return None
     return fit(np.array(codes, np.int16), np.array(y), recall)
 
@@ -281,8 +297,8 @@ def find(texts: list[str | None], network: Network | None) -> list[list[Span]]:
                 places.append((i, a, b))
                 codes.append(view)
     extra = set()
-    for at in range(0, len(codes), 4096):
-        p = network.probability(np.array(codes[at : at + 4096], np.int16))
+    for at in range(0, len(codes), VIEWS):
+        p = network.probability(np.array(codes[at : at + VIEWS], np.int16))
         extra.update(places[at + int(k)] for k in np.flatnonzero(p >= network.threshold))
     ends = [0] * len(texts)
     for i, a, b in sorted(extra):
@@ -297,8 +313,8 @@ def find(texts: list[str | None], network: Network | None) -> list[list[Span]]:
 
 def _find_batches(batches: Iterator[pa.RecordBatch], network: Network | None) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-    for batch in batches:
-        found = find(batch.column(1).to_pylist(), network)
+    for batch, text in slices(batches, 1):
+        found = find(text.to_pylist(), network)
         spans = [[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in found]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(span))], ["doc_id", "spans"])
 
@@ -311,7 +327,7 @@ def secrets(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", te
 
 
 def _hide(batches: Iterator[pa.RecordBatch], network: Network | None, column: int, count: int | None, mask: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch, _ in slices(batches, column):
         texts = batch.column(column).to_pylist()
         new = []
         for t, spans in zip(texts, find(texts, network), strict=True):

@@ -24,11 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices
-from tidemark.llm.shingles import GOLDEN, mixed
+from tidemark.llm.shingles import GOLDEN, mixed, release
 from tidemark.llm.tokens import encoder, with_end
 
 LENGTH, END, GROUP_DOCS, GROUP_CHARS = 4096, 2, 2000, 16 << 20
 
+#: Bytes of text encoded at once, unless one text alone is longer: tokens and pieces of a slice stand in memory beside it.
+SLICE = 1 << 20
+
 #: Sequences of one group have numbers below this.
 GROUP_SEQUENCES = 1 << 24
 
@@ -109,9 +112,10 @@ def without_gaps(bins: list[list[Part]], capacity: int) -> list[list[Part]]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, length: int, groups: int, full_groups: int) -> Iterator[pa.RecordBatch]:
+    release()
     encode = encoder(vocabulary)
     small = encode.full.get_vocab_size() <= 1 << 16
-    for batch, text in slices(batches, 1):
+    for batch, text in slices(batches, 1, SLICE):
         ids, offsets = with_end(*encode(text), end)
         total = np.diff(offsets)
         pieces = -(-total // length)

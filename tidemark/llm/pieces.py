@@ -187,7 +187,7 @@ class Segmenter:
             return SPACE + part if first[k] else part
 
         unique, at, place = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known.keys) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.known.forget()
         new = self.known.unknown(unique)
         if new.any():

@@ -42,6 +42,12 @@ def _powers(n: int) -> list[np.ndarray]:
     return tables
 
 
+def release() -> None:
+    """Give back what earlier work in this process has left: tables sized by its longest slice, and unused Arrow memory."""
+    _power_tables.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose every output bit depends on every input bit."""
     x = x ^ (x >> np.uint64(30))

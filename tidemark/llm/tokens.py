@@ -15,6 +15,9 @@ from tidemark.llm.shingles import words
 #: Distinct words that a process remembers before it starts anew.
 CACHE_WORDS = 1 << 20
 
+#: Distinct parts of words that a process remembers; they serve new words only.
+CACHE_PARTS = 1 << 17
+
 #: A word that the vocabulary's own rules split into a run of letters and a run of marks; anything else takes the long way.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,!|%$&#*;:?]*)")
 
@@ -35,43 +38,89 @@ def _byte_letters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class _Grown:
+    """An array that grows at its end, in place most of the time."""
+
+    def __init__(self, dtype: type, width: int | None = None) -> None:
+        self.room, self.size = np.zeros(1024 if width is None else (1024, width), dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.room):
+            wider = np.zeros((max(need, self.size * 3 // 2), *self.room.shape[1:]), self.room.dtype)
+            wider[: self.size] = self.room[: self.size]
+            self.room = wider
+        self.room[self.size : need] = values
+        self.size = need
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
 class Known:
-    """Ids of strings already met in this process, found by the strings' hashes."""
+    """Ids of strings already met in this process, found by the strings' hashes.
+
+    Hashes are sorted in two parts: most of them, and those learnt since, which join the
+    others when they are an eighth of them.  So a slice's few new strings cost little,
+    however many are known.
+    """
 
     def __init__(self, extras: int = 0) -> None:
         self.extras = extras
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.extra = np.zeros((0, self.extras))
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.parts = [none, none]
+        self.flat, self.begin, self.size = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int64)
+        self.more = _Grown(np.float64, self.extras)
+
+    def __len__(self) -> int:
+        return self.size.size
+
+    @property
+    def extra(self) -> np.ndarray:
+        return self.more.values
 
     def unknown(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.ones(len(keys), bool)
-        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys
+        return self.slot(keys) < 0
 
     def learn(self, keys: np.ndarray, found: list, extra: np.ndarray | None = None) -> None:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        slots = len(self.size) + np.arange(len(found))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, sizes])
+        slots = len(self) + np.arange(len(found))
+        self.begin.add(self.flat.size + np.cumsum(sizes) - sizes)
+        self.flat.add(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+        self.size.add(sizes)
         if extra is not None:
-            self.extra = np.concatenate([self.extra, extra])
-        keys, slots = np.concatenate([self.keys, keys]), np.concatenate([self.slots, slots])
+            self.more.add(extra)
+        most, late = self.parts
+        late = self._merged(late, (keys, slots))
+        if 8 * len(late[0]) > len(most[0]):
+            most, late = self._merged(most, late), (late[0][:0], late[1][:0])
+        self.parts = [most, late]
+
+    @staticmethod
+    def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys, slots = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.slots = keys[order], slots[order]
+        return keys[order], slots[order]
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
-        return self.slots[np.searchsorted(self.keys, keys)]
+        """Where each string is kept; -1 for those not known."""
+        out = np.full(len(keys), -1, np.int64)
+        for known, slots in self.parts:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                out[hit] = slots[at[hit]]
+        return out
 
     def ids(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a sequence of slots, flat, and where each slot's end."""
-        sizes = self.size[slot]
+        sizes = self.size.values[slot]
         ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.begin[slot] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
+        return self.flat.values[np.repeat(self.begin.values[slot] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 class Encoder:
@@ -87,12 +136,12 @@ class Encoder:
     def __init__(self, path: str, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
         self.full = Tokenizer.from_file(path)
         self.full.encode_special_tokens = special_as_text
-        steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
-        self.by_word = spec["model"].get("end_of_word_suffix") == "</w>" and steps == ["NFC", "Replace", "Lowercase"]
+        # Only the normalizer's part of the file is read again: the vocabulary is large as Python objects.
+        normalizer = json.loads(self.full.normalizer.__getstate__()) if self.full.normalizer is not None else {}
+        steps = [n.get("type") for n in normalizer.get("normalizers", [])]
+        self.by_word = getattr(self.full.model, "end_of_word_suffix", None) == "</w>" and steps == ["NFC", "Replace", "Lowercase"]
         self.model, self.letters = self.full.model, _byte_letters()
         self.parts: dict[str, tuple[int, ...]] = {}
         self.known = Known()
@@ -101,6 +150,8 @@ class Encoder:
         got = self.parts.get(part)
         if got is None:
             spelled = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts.clear()
             got = self.parts[part] = tuple([t.id for t in self.model.tokenize(spelled)])
         return got
 
@@ -124,9 +175,8 @@ class Encoder:
         if not len(w.hashes):
             return np.zeros(0, np.uint32), np.zeros(rows + 1, np.int64)
         unique, first, place = np.unique(w.hashes, return_index=True, return_inverse=True)
-        if len(self.known.keys) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.known.forget()
-            self.parts.clear()
         new = self.known.unknown(unique)
         if new.any():
             data, a, b = w.bytes.tobytes(), w.starts[first[new]].tolist(), w.ends[first[new]].tolist()
