@@ -133,3 +133,14 @@ def test_near_rows_that_repeat_and_empty_table(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "9", "None", "None"]
     assert near_components(frame(spark, [])).count() == 0
+
+
+def test_near_ids_with_several_texts_lose_no_link(spark):
+    """Rows that share an id are linked each by its own text, whichever of them stands for the id."""
+    rng = random.Random(3)
+    a, b, c = (" ".join(f"{k}{rng.randrange(5000)}" for _ in range(60)) for k in "abc")
+    rows = [(5, a), (5, b), (7, a + " more"), (9, b + " more"), (11, c), (12, c + " more"), (12, c + " more"), (13, "one other text of six words")]
+    got = near_components(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(
+        (i, len(shingles(t)), {5: 5, 7: 5, 9: 5, 11: 11, 12: 11, 13: 13}[i]) for i, t in rows
+    )

@@ -33,8 +33,8 @@ and linked documents form components.
 Rows of a hot class or bucket are combined before the shuffle or split by Spark in
 joins.  Nothing is collected to the driver but the counts of what is left to do.
 
-NULL texts count as empty.  Rows that repeat an id are taken as the same document; rows
-without an id belong to the component of other rows with their set, or to none, and no
+NULL texts count as empty.  Rows that repeat an id with different texts are documents of
+their own, each linked by its own text; rows without an id belong to the component of other rows with their set, or to none, and no
 filter drops them.  Other columns may have any names, and an empty table has no components.
 """
 
@@ -114,8 +114,14 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch], bins: int, rows: int, siz
 def _set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch, text in slices(batches, 1):
         shingles, offsets = distinct_shingles(text, size)
+        low, high = _set_keys(shingles, offsets)
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(shingles.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["__id", "__set"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), lists], ["__id", "__low", "__high", "__set"])
+
+
+def _node(id_: Column) -> Column:
+    """A class as a node of the graph: its least id, which orders it, and its set's keys, so that texts which share an id stay apart; NULL without an id."""
+    return F.when(id_.isNotNull(), F.struct(id_.alias("id"), F.col("__low").alias("low"), F.col("__high").alias("high")))
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -247,7 +253,8 @@ def near_components(
         )
     )
     classes = settled(
-        base.filter("__n > 0").groupBy("__low", "__high").agg(F.min("__id").alias("x"), F.any_value("__n").alias("n"), F.any_value("__bands").alias("bands"))
+        base.filter("__n > 0").groupBy("__low", "__high").agg(F.min("__id").alias("__least"), F.any_value("__n").alias("n"), F.any_value("__bands").alias("bands"))
+        .select("__low", "__high", _node(F.col("__least")).alias("x"), "n", "bands")
     )
     banded = classes.select("x", "n", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("__in")).filter("__in > 1")
@@ -255,12 +262,13 @@ def near_components(
     bits = member_bits(shared, F.col("key"))
     members = settled(marked(banded, bits, "__hit", F.col("key")).filter("__hit").drop("__hit").join(shared, "key"))
 
-    nodes = member_bits(members, F.col("x"))
+    nodes = member_bits(members, F.col("x.id"))
     sets = settled(
         marked(source, nodes, "__hit", F.col("__id"))
         .filter("__hit")
         .select("__id", "__text")
-        .mapInArrow(partial(_set_batches, size=size), f"__id {kind}, __set array<long>")
+        .mapInArrow(partial(_set_batches, size=size), f"__id {kind}, __low long, __high long, __set array<long>")
+        .select(_node(F.col("__id")).alias("__id"), "__set")
         .join(members.select(F.col("x").alias("__id")).distinct(), "__id", "left_semi")
         .dropDuplicates(["__id"])
     )
@@ -293,7 +301,7 @@ def near_components(
     known = known.union(settled(_overlaps(wanted, sets)))
     labels = components(known.filter(_enough(F.col("both"), percent)))
     ids = classes.select(F.col("__low").alias("l"), F.col("__high").alias("h"), "x")
-    by_class = settled(_labelled(ids, labels, "x").select("l", "h", "component"))
+    by_class = settled(_labelled(ids, labels, "x").select("l", "h", F.col("component.id").alias("component")))
     named = base.filter("__n > 0").join(by_class, (F.col("__low") == F.col("l")) & (F.col("__high") == F.col("h")), "left")
     alone = base.filter("__n = 0").withColumn("component", F.col("__id"))
     columns = [
