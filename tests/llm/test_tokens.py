@@ -124,6 +124,16 @@ def test_packed(docs, want, group_docs):
     assert packing.packed(docs.limit(0), tokens.vocabulary_path()).count() == 0
 
 
+def test_packing_groups_of_rows_without_an_id(spark):
+    """Rows that share an id, or have none, are spread over groups by their texts."""
+    rows = [(None if k % 3 else 4, f"text number {k} " + "word " * (k % 50)) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.packed(docs, tokens.vocabulary_path(), length=512, group_docs=20).collect()
+    groups = Counter(r["sequence_id"] // packing.GROUP_SEQUENCES for r in got)
+    assert len(groups) >= 25 and max(groups.values()) < 60
+    assert sum(r["length"] for r in got) == sum(len(i) for i in tokens.encoder(tokens.vocabulary_path()).full.encode_batch([t for _, t in rows], add_special_tokens=False)) + len(rows)
+
+
 @pytest.mark.parametrize("block,width", [(64, 4), (1000, 2), (1 << 16, 4)])
 def test_document_counts(docs, want, block, width):
     flat = separators.flat_tokens(docs, tokens.vocabulary_path(), 49407, block=block, width=width)

@@ -1,15 +1,17 @@
 """Packing documents into fixed-length sequences: first-fit decreasing over a tournament tree, in random groups.
 
 Each document's tokens are cut into full sequences and one rest.  Rests are dealt by a
-hash into groups of about ``group_docs`` documents, and every group is packed on its
+hash of the row and of the partition it is read in into groups of about ``group_docs`` documents, and every group is packed on its
 own: rests by falling length, each into the first sequence with room, which a
 tournament tree over the sequences' free places finds in logarithmic time.  At last a
 group's open sequences are closed: the emptiest one is cut up to fill the gaps of the
 others, and what then remains is cut into sequences whose lengths are powers of two,
 which need no padding.
 
-The plan depends only on the rows themselves, so a repeated task gives the same
-sequences.  A task holds one group: rests of less than a sequence each.  Long documents'
+The plan depends only on the rows and the partition each is read in, not on their order,
+so a repeated task gives the same sequences.  Rows with one id, or without one, are dealt
+by their texts, and equal rows by their partitions, so no id makes a group large.  A task
+holds one group: rests of less than a sequence each.  Long documents'
 full sequences are dealt apart from the rests and evenly.
 """
 
@@ -144,8 +146,8 @@ def _pack(group: pa.Table, groups: int, length: int) -> pa.Table:
     key = group["key"][0].as_py()
     width = len(group["ids"][0].as_py()) // group["length"][0].as_py()
     docs, starts = group["doc"].to_pylist(), group["start"].to_pylist()
-    order = sorted(range(len(group)), key=lambda i: (docs[i] is not None, docs[i], starts[i]))
     sizes, totals, ids = group["length"].to_pylist(), group["total"].to_pylist(), group["ids"].to_pylist()
+    order = sorted(range(len(group)), key=lambda i: (docs[i] is not None, docs[i], starts[i], totals[i], ids[i]))
     if key < groups:
         bins = without_gaps(first_fit_decreasing([sizes[i] for i in order], length), length)
     else:
@@ -186,7 +188,7 @@ def packed(
     rows, chars = source.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     groups, full_groups = max(1, -(-rows // group_docs)), max(1, -(-chars // group_chars))
     kind = source.schema["doc"].dataType.simpleString()
-    pieces = source.withColumn("random", F.xxhash64("doc", F.lit(seed))).mapInArrow(
+    pieces = source.withColumn("random", F.xxhash64("doc", "text", F.lit(seed), F.spark_partition_id())).mapInArrow(
         partial(_cut, vocabulary=vocabulary, end=end, length=length, groups=groups, full_groups=full_groups),
         f"key long, doc {kind}, start long, length long, total long, ids binary",
     )
