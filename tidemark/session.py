@@ -18,6 +18,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 _SCRATCH: list[tuple[SparkSession, str]] = []
@@ -28,7 +29,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
     Skewed partitions of a sort-merge join are split at run time, also where a
     later step would like the old partitioning back: one more exchange costs
-    less than one task with a third of the rows.
+    less than one task with a third of the rows.  Arrow batches are small: with long
+    texts each stands in memory several times, in the JVM and in the worker.
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
