@@ -24,32 +24,38 @@ from tidemark.llm.exact import without_exact_copies
 from tidemark.llm.near import without_near_copies
 from tidemark.llm.packing import packed
 from tidemark.llm.tokens import vocabulary_path
+from tidemark.session import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules and the labelled lines keep; the field is fitted on this stage's labelled documents."""
+    tune(spark)
     return quality.without_rejected(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    tune(spark)
     return without_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    tune(spark)
     return without_near_copies(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the secrets in their texts; the network is trained on this stage's findings."""
+    tune(spark)
     return credentials.without_secrets(docs, credentials.train(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document in a sequence, with its token ids."""
+    tune(spark)
     return packed(docs, vocabulary_path())
 
 
