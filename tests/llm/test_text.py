@@ -275,13 +275,24 @@ KEPT = [
     (f'<div class="sidebar"><main><p>{LONG}</p></main></div><div class="sidebar">s</div>', LONG),
     (f'<form id="page"><nav><a href="/">n</a></nav><div><p>{LONG}</p></div></form>', LONG),
     (f'<div class="promo"><p>{LONG}</p></div><div><p>x</p></div>', f"{LONG}x"),
-    ('<article><h2 id="related">A</h2><p>a</p><section id="social-impact"><p>b</p></section><p class="notice">c</p><div class="notice">d</div></article>', "A a b c d"),
+    ('<article><h2 id="related">A</h2><p>a</p><section id="social-impact"><p>b</p></section><p class="notice">c</p><div class="notice">d</div></article>', "A a b c"),
     ('<main><p><a href="/wiki/Hidden_Figures">A</a> <i title="hidden costs">b</i> <b data-hidden="false">c</b> <a href="?id=3&class=promo">d</a> <i hidden>no</i></p></main>', "A b c d"),
     ("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p>", "If x=1 then"),
     (f'<article><p>{LONG}</p><div class="related"><a href="x">one</a></div><div class="wide ad">buy</div></article>', LONG),
     (f'<article><p>short</p></article><div id="comments"><article><p>{LONG}</p></article></div>', "short"),
 ]
 
+KEPT += [
+    (f'<article><p>{LONG}</p><div class="{name}"><p>Not of the article at all.</p></div></article>', LONG)
+    for name in ("post-comments", "ad-slot", "share-buttons", "newsletter-signup", "related-posts", "comment_list wide")
+]
+KEPT += [
+    (f'<div><div class="text"><p>{LONG}</p></div><div class="sidebar-left"><p>Other things.</p></div></div>', LONG),
+    (f'<main><div class="notice">We use cookies.</div><p>{LONG}</p><div class="consent"><p>Do you agree?</p></div></main>', LONG),
+    (f'<main><div class="notice"><p>{LONG}</p></div><p>x</p></main>', f"{LONG}x"),
+    (f'<article><p>{LONG}</p><section id="related-work"><p>r</p></section><section id="share-of-market"><p>s</p></section></article>', f"{LONG}r s"),
+]
+
 
 @pytest.mark.parametrize("page, want", KEPT)
 def test_names_do_not_cut_the_article(page, want):

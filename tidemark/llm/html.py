@@ -2,9 +2,10 @@
 
 A tolerant parser reads the whole page into a tree of nodes in page order.  Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are cut away where their tag, role or name says so: the id or a token of the class as a
-whole, of blocks only.  A name that an article's own parts bear too cuts there only what
-is mostly links.  What holds the main element, an article no shorter than those
+are cut away where their tag, role or name says so: the id or a token of the class of
+blocks, as a whole or put together from such a name and words for places and boxes only
+(``post-comments``, ``ad-slot``).  A name that an article's own parts bear too cuts there
+only what is mostly links, a notice only what is less than a quarter of the page's text.  What holds the main element, an article no shorter than those
 elsewhere, or most of the page's text outside links (unless an article or main element
 elsewhere has text) stays.  For every node left, its
 characters, tags, link characters and link tags give the link-adjusted characters
@@ -36,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
     re.S,
@@ -76,11 +79,19 @@ CUT_NAMES = frozenset(
     " site-header page-header masthead footer site-footer page-footer sidebar aside cookie cookies cookie-notice cookie-banner cookie-consent gdpr popup modal"
     " newsletter subscribe signup login share sharing recommended recommendations pagination pager".split()
 )
-SHARED_NAMES = frozenset("banner menu header widget consent notice notices disclaimer overlay social related toolbar skip".split())
+SHARED_NAMES = frozenset("banner menu header widget disclaimer overlay social related toolbar skip".split())
+NOTICE_NAMES = frozenset("consent notice notices".split())
+#: Names that hold of a hyphenated name too, where its other parts only say where or what box it is.
+LEADING_PARTS = frozenset("ad ads advert advertisement sponsored promo share sharing related recommended newsletter sidebar cookie cookies".split())
+COMMENT_PARTS = frozenset("comment comments".split())
+PLACE_PARTS = frozenset(
+    "post posts article articles page site entry story stories user reader slot unit box banner container wrapper wrap block area widget bar button buttons"
+    " link links list item items signup form left right top bottom primary secondary notice consent message popup section".split()
+)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 #: Why an element may be cut away.
-NAMED, SHARED, COMMENTS, CONTROL = 1, 2, 3, 4
+NAMED, SHARED, COMMENTS, CONTROL, NOTICE = 1, 2, 3, 4, 5
 
 
 class Node:
@@ -131,7 +142,17 @@ def _mark_of(nameless: bool, attributes: str) -> int:
     if nameless:
         return 0
     names = {*a.get("class", "").lower().split(), a.get("id", "").strip().lower()}
-    return NAMED if names & CUT_NAMES else COMMENTS if names & COMMENT_NAMES else SHARED if names & SHARED_NAMES else 0
+    if names & CUT_NAMES or any(_put_together(n, LEADING_PARTS) for n in names):
+        return NAMED
+    if names & COMMENT_NAMES or any(_put_together(n, COMMENT_PARTS) for n in names):
+        return COMMENTS
+    return NOTICE if names & NOTICE_NAMES else SHARED if names & SHARED_NAMES else 0
+
+
+def _put_together(name: str, leading: frozenset[str]) -> bool:
+    """Whether a hyphenated name consists of one of the leading parts and words for places and boxes."""
+    parts = {*re.split("[-_]+", name)} - {""}
+    return len(parts) > 1 and bool(parts & leading) and parts <= leading | PLACE_PARTS
 
 
 def _free(nodes: list[Node]) -> list[Node]:
@@ -175,6 +196,8 @@ def settle(root: Node) -> None:
         node.within = up is not None and (up.within or up.tag in CONTENT_TAGS)
         if node.mark == SHARED and (node.within or node.tag == "p") and 2 * node.plain > node.text:
             node.mark = 0
+        if node.mark == NOTICE and (node.tag == "p" or 4 * node.plain >= root.plain) and 2 * node.plain > node.text:
+            node.mark = 0
         if node.mark and node.main:
             node.mark = 0
         if node.mark:
@@ -350,8 +373,8 @@ def main_text(page: str | None) -> str:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [main_text(p) for p in batch.column(2).to_pylist()]
+    for batch, pages in slices(batches, 2):
+        texts = [main_text(p) for p in pages.to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
