@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import match, scale, split
 from tidemark.operators.activity import quantile_stats
+from tidemark.sources import tables
 from tests.conftest import rows
 from tests.test_functions import plain_similarity
 
@@ -145,6 +146,17 @@ def test_best_matches_keep_ties_and_exact_names(spark):
     assert all(s == 100 for i, _, s, _ in got if i == 1) and all(m == 1 for *_, m in got)
 
 
+def test_matches_of_a_common_name_are_spread(spark):
+    """Many rows under one name on both sides: right rows, no repeats, and more tasks than the few bytes of input would give."""
+    people = spark.range(3000).select(F.col("id").alias("account_id"), F.lit("acme tools").alias("account_name"), F.lit(0).alias("churned_flag"), F.lit(None).cast("date").alias("churn_date"))
+    usage = spark.range(2000).select(F.col("id").alias("contract_number"), F.lit("Acme  tools").alias("usage_name"))
+    got = tables.matched_usage(people.union(people.limit(100)), usage.union(usage.limit(100)))
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 3000 * 2000 and len(per_task) > 2 and max(per_task) < 3_500_000
+    sums = got.agg(F.sum("account_id"), F.sum("contract_number"), F.min("score")).first()
+    assert tuple(sums) == (2000 * sum(range(3000)), 3000 * sum(range(2000)), 100)
+
+
 def test_low_thresholds_are_refused(spark):
     with pytest.raises(ValueError):
         match.name_keys("abc", 60.0, {})

@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import similarity_scores
-from tidemark.operators.scale import settled
+from tidemark.operators.scale import fan_out_join, settled
 
 # Rare characters per key for a common prefix of 0, 1, 2, 3 and 4 characters: the
 # longer the prefix in the key, the fewer are needed to keep a key selective.  More
@@ -219,20 +219,25 @@ def fuzzy_pairs(
     characters that two names share; only pairs that it lets through become rows, and
     only those are scored.  NULL names match nothing.
     """
-    names = _distinct_names(left.select(F.col("l_name").alias("name")), right.select(F.col("r_name").alias("name")), ignore_case)
+    names = _distinct_names(left, right, "l_name", "r_name", ignore_case)
     return _near_pairs(names, _character_ranks(names), min_score, ignore_case, widths, tile)
 
 
-def _distinct_names(left: DataFrame, right: DataFrame, ignore_case: bool) -> DataFrame:
-    """Both sides' names as one written table (name, folded, is_right): much smaller than what they are taken from."""
-    given = left.withColumn("is_right", F.lit(False)).unionByName(right.withColumn("is_right", F.lit(True)))
+def _distinct_names(left: DataFrame, right: DataFrame, l_name: str, r_name: str, ignore_case: bool) -> DataFrame:
+    """Both sides' names as one written table (name, n rows, folded, is_right): much smaller than what they are taken from."""
+
+    def counted(df: DataFrame, column: str, is_right: bool) -> DataFrame:
+        return df.groupBy(F.col(column).alias("name")).agg(F.count(F.lit(1)).alias("n")).withColumn("is_right", F.lit(is_right))
+
+    given = counted(left, l_name, False).unionByName(counted(right, r_name, True))
     folded = F.lower("name") if ignore_case else F.col("name")
-    return settled(given.where(F.col("name").isNotNull()).select("name", folded.alias("folded"), "is_right"), "names")
+    return settled(given.where(F.col("name").isNotNull()).select("name", "n", folded.alias("folded"), "is_right"), "names")
 
 
 def _near_pairs(
     names: DataFrame, rarity: dict[str, int], min_score: int, ignore_case: bool, widths: tuple[int, ...], tile: int
 ) -> DataFrame:
+    names = names.select("name", "folded", "is_right")
     rows = partial(_keyed_rows, min_score=float(min_score), rarity=rarity, widths=widths)
     schema = "name string, folded string, is_right boolean, key string, p tinyint, " + ", ".join(f"{c} long" for c in _SIGNATURE)
     dealt = tiles(spread(names, "name").mapInArrow(rows, schema), tile)
@@ -296,26 +301,28 @@ def fuzzy_match(
     Scores run from ``min_score`` to 100; ties for the best score are all kept.
     Names are compared once per distinct value.  A name with an exact partner
     already has the top score, so only the others go through the similarity
-    search.
+    search.  A name may have many rows on both sides: rows meet in tasks of bounded
+    output.  Distinct rows on both sides give distinct rows.
     """
-    names = _distinct_names(
-        left.select(F.col(l_name).alias("name")).distinct(), right.select(F.col(r_name).alias("name")).distinct(), ignore_case
-    )
+    names = _distinct_names(left, right, l_name, r_name, ignore_case)
     ours, theirs = names.where("not is_right"), names.where("is_right")
     ln = ours.select(F.col("name").alias("l_name"), "folded")
     exact = ln.join(theirs.select(F.col("name").alias("r_name"), "folded"), "folded").select("l_name", "r_name", F.lit(100).alias("score"))
-    open_names = ours.join(theirs.select("folded"), "folded", "left_anti").select("name", "folded", "is_right")
+    open_names = ours.join(theirs.select("folded"), "folded", "left_anti").select(names.columns)
     # Scoring is the dear step and this keeps it single.  Each task drops its own
     # lower ranks before the shuffle, so a name arrives with its best partners only.
     by_name = W.partitionBy("l_name").orderBy(F.desc("score"))
     near = _near_pairs(open_names.unionByName(theirs), _character_ranks(names), min_score, ignore_case, widths, TILE)
     near = near.withColumn("r", F.rank().over(by_name)).where("r = 1").drop("r")
-    pairs = exact.unionByName(near).withColumn("match_rank", F.lit(1))
-    return (
-        left.join(pairs.withColumnRenamed("l_name", l_name), l_name)
-        .join(right.withColumnRenamed(r_name, "r_name"), "r_name")
-        .withColumnRenamed("r_name", r_name)
+    pairs = settled(exact.unionByName(near), "matches").withColumn("match_rank", F.lit(1))
+    sizes = (
+        pairs.join(ours.select(F.col("name").alias("l_name"), "n"), "l_name").groupBy("r_name").agg(F.sum("n").alias("_m"))
+        .join(theirs.select(F.col("name").alias("r_name"), F.col("n").alias("_n")), "r_name")
     )
+    matched = left.join(pairs.withColumnRenamed("l_name", l_name), l_name)
+    matched = matched.select("r_name", *[c for c in matched.columns if c != "r_name"])
+    # Every name of a match has rows on the right, so that none is left without a partner.
+    return fan_out_join(matched, right.withColumnRenamed(r_name, "r_name"), "r_name", sizes=sizes).withColumnRenamed("r_name", r_name)
 
 
 def rank_best(df: DataFrame, key: str, score: str) -> DataFrame:
