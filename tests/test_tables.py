@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -85,6 +86,24 @@ def test_every_renewal_mode_changes_no_later_result(spark, tiny):
     assert weekly[0].groupBy("account_id", "yyyywk").count().where("count > 1").count() == 0
 
 
+def test_rows_per_renewal_carry_no_text_and_meet_once(spark, tiny):
+    """An account with many renewals, some of one start: as many rows as its days and starts; counting them shuffles no text."""
+    b = Inputs(spark, tiny).bundle
+    account = b.renewal.first()["bill_to"]
+    more = spark.range(300).select(F.lit(account).alias("bill_to"), F.date_add(F.lit(DAY), (F.col("id") % 200).cast("int")).alias("coverage_start"),
+                                   F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("coverage_end"))
+    b = replace(b, renewal=b.renewal.union(more))
+    once, each = merge.merge_sources(b, START), merge.merge_sources(b, START, renewals="rows")
+    dated = F.coalesce("receipt_date", "invoice_date", "trx_date", "line_start").isNotNull()
+    starts = b.renewal.groupBy("bill_to").agg(F.count_distinct("coverage_start").alias("n")).withColumnRenamed("bill_to", "account_id")
+    want = once.join(starts, "account_id", "left").select("account_id", "final_earliest_date", F.when(dated, F.coalesce("n", F.lit(1))).otherwise(1).alias("n"))
+    want = want.groupBy("account_id").agg(F.sum("n").alias("rows"), F.min("final_earliest_date").alias("earliest"))
+    got = each.groupBy("account_id").agg(F.count(F.lit(1)).alias("rows"), F.min("final_earliest_date").alias("earliest"))
+    assert rows(got) == rows(want) and each.distinct().count() == each.count()
+    few = merge.merge_sources(Inputs(spark, tiny).bundle, START, renewals="rows").groupBy("account_id").count()
+    assert "line_items" not in few._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_week_after_the_churn_week(spark):
     weekly = spark.createDataFrame([(1, 202001), (1, 202002), (1, 202003), (2, 202010), (3, 202010), (4, 202010)], "account_id long, yyyywk int")
     acc = spark.createDataFrame([(1, 1, dt.date(2020, 1, 8)), (2, 0, None), (3, None, None), (4, 1, None)], "account_id long, churned_flag int, churn_date date")
