@@ -2,8 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import match, scale, split
 from tidemark.operators.activity import quantile_stats
+from tidemark.plans.inputs import Inputs
 from tidemark.sources import tables
 from tests.conftest import rows
 from tests.test_functions import plain_similarity
@@ -157,6 +159,22 @@ def test_matches_of_a_common_name_are_spread(spark):
     assert tuple(sums) == (2000 * sum(range(3000)), 3000 * sum(range(2000)), 100)
 
 
+def test_tasks_are_sized_by_the_input(spark, tiny):
+    """Shuffles of a query start with a partition for each 2 MB of its tables; a small input keeps the session's number, and so does what runs next."""
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grouped = lambda: spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()._jdf.queryExecution().executedPlan().toString()
+    t = Inputs(session.tune(spark), tiny)
+    assert t.raw("orders").count() > 0 and session.shuffle_partitions(spark) == own
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
+    t._bytes["orders"] = 1 << 30
+    t.raw("customer")
+    assert session.shuffle_partitions(spark) == 512 and ", 512)" in grouped()
+    session.size_tasks(spark, 1 << 45)
+    assert session.shuffle_partitions(spark) == 2000
+    session.tune(spark)
+    assert session.shuffle_partitions(spark) == own and f", {own})" in grouped()
+
+
 def test_low_thresholds_are_refused(spark):
     with pytest.raises(ValueError):
         match.name_keys("abc", 60.0, {})

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import similarity_scores
 from tidemark.operators.scale import fan_out_join, settled
+from tidemark.session import shuffle_partitions
 
 # Rare characters per key for a common prefix of 0, 1, 2, 3 and 4 characters: the
 # longer the prefix in the key, the fewer are needed to keep a key selective.  More
@@ -267,8 +268,7 @@ def _scorer(min_score: int, ignore_case: bool):
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Hash the rows over all shuffle partitions, without packing small ones together."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *columns)
+    return df.repartition(shuffle_partitions(df.sparkSession), *columns)
 
 
 def _character_ranks(names: DataFrame) -> dict[str, int]:
