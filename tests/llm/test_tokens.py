@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -231,3 +232,43 @@ def test_long_words_end(model):
     lattice = pieces.lattice(model)
     for text in ("x" * 3000, "ab" * 1500):
         assert len(lattice.n_best(text, 4)) == 4
+
+
+def test_words_together_as_alone(model):
+    """Pieces, scores and losses of many words at once are those of each word alone, also of long and strange ones."""
+    lattice, rng = pieces.lattice(model), random.Random(5)
+    parts = ["a", "e", "th", "ing", pieces.SPACE, "é", "日", "😀", "\r", "\n", ";", "0", "\x00", "🜁", *list(lattice.ids)[300:30000:500]]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice([1, 2, 5, 12, 40, 90]))) for _ in range(600)]
+    texts += ["x" * pieces.LONG, "x" * (pieces.LONG + 1)]
+    size = np.array([len(t) for t in texts])
+    chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    ids, first, count, extra = lattice.best_of(chars, np.cumsum(size) - size, size)
+    for k, text in enumerate(texts):
+        assert (tuple(ids[first[k] : first[k] + count[k]].tolist()), *extra[k].tolist()) == lattice.best(text), text
+
+
+def test_memory_of_pieces_does_not_grow_with_the_words_met(model):
+    segment, rng = pieces.Segmenter(model, 1), random.Random(6)
+
+    def some_words():
+        list(segment(pa.array([" ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(2000))])))
+
+    some_words()
+    tracemalloc.start()
+    try:
+        some_words()
+        before = tracemalloc.get_traced_memory()[0]
+        for _ in range(10):
+            some_words()
+        assert tracemalloc.get_traced_memory()[0] - before < 300_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_pieces_decoded_at_once(spark, docs, model):
+    """Decoding within the same pass gives what the second operator gives."""
+    plain = docs.select("doc_id", "text")
+    at_once = pieces.encoded(plain, model, decode=True)
+    after = pieces.decoded(pieces.encoded(plain, model), model)
+    assert at_once.columns == after.columns
+    assert at_once.exceptAll(after).count() == after.exceptAll(at_once).count() == 0

@@ -41,13 +41,13 @@ def _byte_letters() -> list[str]:
 class _Grown:
     """An array that grows at its end, in place most of the time."""
 
-    def __init__(self, dtype: type, width: int | None = None) -> None:
-        self.room, self.size = np.zeros(1024 if width is None else (1024, width), dtype), 0
+    def __init__(self, dtype: type) -> None:
+        self.room, self.size = np.zeros(1024, dtype), 0
 
     def add(self, values: np.ndarray) -> None:
         need = self.size + len(values)
         if need > len(self.room):
-            wider = np.zeros((max(need, self.size * 3 // 2), *self.room.shape[1:]), self.room.dtype)
+            wider = np.zeros(max(need, self.size * 3 // 2), self.room.dtype)
             wider[: self.size] = self.room[: self.size]
             self.room = wider
         self.room[self.size : need] = values
@@ -66,34 +66,26 @@ class Known:
     however many are known.
     """
 
-    def __init__(self, extras: int = 0) -> None:
-        self.extras = extras
+    def __init__(self) -> None:
         self.forget()
 
     def forget(self) -> None:
         none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.parts = [none, none]
         self.flat, self.begin, self.size = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int64)
-        self.more = _Grown(np.float64, self.extras)
 
     def __len__(self) -> int:
         return self.size.size
 
-    @property
-    def extra(self) -> np.ndarray:
-        return self.more.values
-
     def unknown(self, keys: np.ndarray) -> np.ndarray:
         return self.slot(keys) < 0
 
-    def learn(self, keys: np.ndarray, found: list, extra: np.ndarray | None = None) -> None:
+    def learn(self, keys: np.ndarray, found: list) -> None:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         slots = len(self) + np.arange(len(found))
         self.begin.add(self.flat.size + np.cumsum(sizes) - sizes)
         self.flat.add(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
         self.size.add(sizes)
-        if extra is not None:
-            self.more.add(extra)
         most, late = self.parts
         late = self._merged(late, (keys, slots))
         if 8 * len(late[0]) > len(most[0]):
