@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 
+from tidemark.llm import near
 from tidemark.llm.exact import exact_groups, without_exact_copies
 from tidemark.llm.near import near_components, without_near_copies
 
@@ -144,3 +145,29 @@ def test_near_ids_with_several_texts_lose_no_link(spark):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(
         (i, len(shingles(t)), {5: 5, 7: 5, 9: 5, 11: 11, 12: 11, 13: 13}[i]) for i, t in rows
     )
+
+
+def test_near_steps_of_few_rows_write_few_files(spark, monkeypatch):
+    """Many more shuffle partitions than rows: steps on links and labels do not write a file for each partition."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(3000)}" for _ in range(160)]
+    rows = list(enumerate([" ".join(edited(rng, base, 0.02)) for _ in range(60)] + [f"alone {k} " + " ".join(f"v{rng.randrange(10**6)}" for _ in range(30)) for k in range(20)]))
+    files = []
+
+    def counted(df, write=near.settled):
+        out = write(df)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near, "settled", counted)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = near.near_components(frame(spark, rows)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {tuple(r) for r in got} == components_by_hand(rows)
+    assert sum(n > near.FEWEST_FILES for n in files) < len(files) / 4

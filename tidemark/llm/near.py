@@ -137,6 +137,20 @@ def _enough(both: Column, percent: int) -> Column:
     return 100 * both >= percent * (F.col("na") + F.col("nb") - both)
 
 
+#: Rows that a file of a step's table holds, and the fewest files that a step may write.
+ROWS_PER_FILE, FEWEST_FILES = 20_000, 12
+
+
+def _gathered(df: DataFrame, rows: int) -> DataFrame:
+    """A step of at most ``rows`` narrow rows, written in files that hold many of them.
+
+    A shuffle may have far more partitions than a step of few rows needs, and a file for
+    each costs more than the step; such a table is also read and broadcast as larger than
+    it is.  Partitions are put together, never split, and rows stay where their key is.
+    """
+    return settled(df.coalesce(max(FEWEST_FILES, rows // ROWS_PER_FILE)))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Of each node of the links (x, y): the least node it is connected with, as (node, component).
 
@@ -144,14 +158,15 @@ def components(links: DataFrame) -> DataFrame:
     then the label's own label, until nothing changes; the nodes of long chains halve
     their distance to the least one each time.
     """
-    edges = settled(links.select("x", "y").union(links.select("y", "x")).distinct())
-    labels = settled(edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("component")))
+    edges = _gathered(links.select("x", "y").union(links.select("y", "x")).distinct(), 2 * links.count())
+    rows = edges.count()
+    labels = _gathered(edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("component")), rows)
     while True:
         seen = edges.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("component").alias("__near"))
         own = labels.join(seen, "node").select("node", "component", F.least("component", "__near").alias("__least"))
         far = labels.select(F.col("node").alias("__least"), F.col("component").alias("__far"))
-        new = settled(
-            own.join(far, "__least", "left").select("node", F.coalesce("__far", "__least").alias("__new"), "component")
+        new = _gathered(
+            own.join(far, "__least", "left").select("node", F.coalesce("__far", "__least").alias("__new"), "component"), rows
         )
         changed = new.filter(F.col("__new") != F.col("component")).limit(1).count()
         labels = new.select("node", F.col("__new").alias("component"))
@@ -167,12 +182,13 @@ def _labelled(members: DataFrame, labels: DataFrame, column: str) -> DataFrame:
 
 def _with_references(members: DataFrame, degrees: DataFrame, labels: DataFrame) -> DataFrame:
     """The members (key, x, component) of open buckets, with the component that most of the bucket's are in as ``main`` and its centre as ``pivot``."""
+    rows = members.count()
     known = _open(members.select("key", "x"), labels)
     centres = _labelled(degrees, labels, "x").groupBy("component").agg(F.max(F.struct("degree", "x")).alias("__centre"))
     sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("__in"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("__in", "component")).alias("__most")).select("key", "__most.component")
-    references = settled(largest.join(centres, "component").select("key", F.col("component").alias("main"), F.col("__centre.x").alias("pivot")))
-    return settled(known.select("key", "x", "component").join(references, "key"))
+    references = _gathered(largest.join(centres, "component").select("key", F.col("component").alias("main"), F.col("__centre.x").alias("pivot")), rows)
+    return _gathered(known.select("key", "x", "component").join(references, "key"), rows)
 
 
 #: Sizes in one class differ by less than this factor.
@@ -194,14 +210,15 @@ def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = own.join(sets.select(F.col("__id").alias("pivot"), F.col("__set").alias("__p")), "pivot")
     own = settled(own.select("pivot", "x", F.explode(F.array_except("__x", "__p")).alias("shingle")))
     owners = own.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("__owners")).filter("__owners > 1")
-    own = settled(own.join(owners, ["pivot", "shingle"]))
+    own = _gathered(own.join(owners, ["pivot", "shingle"]), own.count())
     added = own.filter(F.col("__owners") > FREQUENT).groupBy("pivot", "x").agg(F.count(F.lit(1)).alias("__added"))
     rare = own.filter(F.col("__owners") <= FREQUENT).drop("__owners")
-    members = settled(members.join(added, ["pivot", "x"], "left").withColumn("b", F.col("b") + F.coalesce("__added", F.lit(0))).drop("__added"))
+    count = members.count()
+    members = _gathered(members.join(added, ["pivot", "x"], "left").withColumn("b", F.col("b") + F.coalesce("__added", F.lit(0))).drop("__added"), count)
 
     sizes = members.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("__in"))
-    largest = settled(sizes.groupBy("pivot").agg(F.max(F.struct("__in", "component")).alias("__most")))
-    a = settled(members.join(largest, "pivot").filter(F.col("component") != F.col("__most.component")).drop("__most"))
+    largest = _gathered(sizes.groupBy("pivot").agg(F.max(F.struct("__in", "component")).alias("__most")), count)
+    a = _gathered(members.join(largest, "pivot").filter(F.col("component") != F.col("__most.component")).drop("__most"), count)
     a = a.select("pivot", "x", F.col("component").alias("ca"), F.col("n").alias("na"), F.col("b").alias("ba"))
     b = members.select("pivot", F.col("x").alias("y"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("b").alias("bb"))
     inside = F.least("ba", "bb")
@@ -224,9 +241,10 @@ def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members, with their components, of the buckets that hold several components."""
+    rows = members.count()
     known = _labelled(members, labels, "x")
-    several = settled(known.groupBy("key").agg(F.min("component").alias("__a"), F.max("component").alias("__b")).filter("__a <> __b").select("key"))
-    return settled(known.join(several, "key", "left_semi"))
+    several = _gathered(known.groupBy("key").agg(F.min("component").alias("__a"), F.max("component").alias("__b")).filter("__a <> __b").select("key"), rows)
+    return _gathered(known.join(several, "key", "left_semi"), rows)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -258,9 +276,11 @@ def near_components(
     )
     banded = classes.select("x", "n", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("__in")).filter("__in > 1")
-    shared = settled(shared)
+    bands = bins // rows
+    shared = _gathered(shared, classes.count() * bands // 2)
     bits = member_bits(shared, F.col("key"))
-    members = settled(marked(banded, bits, "__hit", F.col("key")).filter("__hit").drop("__hit").join(shared, "key"))
+    members = _gathered(marked(banded, bits, "__hit", F.col("key")).filter("__hit").drop("__hit").join(shared, "key"), classes.count() * bands)
+    count = members.count()
 
     nodes = member_bits(members, F.col("x.id"))
     sets = settled(
@@ -272,10 +292,10 @@ def near_components(
         .join(members.select(F.col("x").alias("__id")).distinct(), "__id", "left_semi")
         .dropDuplicates(["__id"])
     )
-    degrees = settled(members.groupBy("x").agg(F.sum("__in").alias("degree")))
+    degrees = _gathered(members.groupBy("x").agg(F.sum("__in").alias("degree")), count)
     ranked = members.select("key", "x").join(degrees, "x")
-    pivots = settled(ranked.groupBy("key").agg(F.max(F.struct("degree", "x")).alias("__best")).select("key", "__best.*").withColumnRenamed("x", "pivot"))
-    members = settled(members.select("key", "x").join(pivots, "key"))
+    pivots = _gathered(ranked.groupBy("key").agg(F.max(F.struct("degree", "x")).alias("__best")).select("key", "__best.*").withColumnRenamed("x", "pivot"), count)
+    members = _gathered(members.select("key", "x").join(pivots, "key"), count)
     best = members.filter("x <> pivot").groupBy("x").agg(F.max(F.struct("degree", "pivot")).alias("__best"))
     known = settled(_overlaps(_ordered(best.select("x", F.col("__best.pivot").alias("y"))), sets))
     labels = components(known.filter(_enough(F.col("both"), percent)))
@@ -287,21 +307,24 @@ def near_components(
     for _ in range(references - 1):
         degrees = degrees.join(members.select(F.col("pivot").alias("x")).distinct(), "x", "left_anti")
         apart = _with_references(members, degrees, labels).filter("component <> main")
-        wanted = settled(_ordered(apart.select("x", F.col("pivot").alias("y"))).join(known, ["x", "y"], "left_anti"))
-        known = known.union(settled(_overlaps(wanted, sets)))
-        labels = components(known.filter(_enough(F.col("both"), percent)))
+        wanted = _gathered(_ordered(apart.select("x", F.col("pivot").alias("y"))).join(known, ["x", "y"], "left_anti"), count)
+        found = settled(_overlaps(wanted, sets))
+        known = known.union(found)
+        if not found.filter(_enough(F.col("both"), percent)).isEmpty():
+            labels = components(known.filter(_enough(F.col("both"), percent)))
         degrees = degrees.join(apart.select(F.col("pivot").alias("x")).distinct(), "x", "left_anti")
 
     around = _open(members.select("key", "x", "pivot"), labels).select("pivot", "x", "component").distinct()
     either = known.select("x", F.col("y").alias("pivot"), F.col("na").alias("n"), F.col("both").alias("b"))
     either = either.union(known.select("y", "x", "nb", "both"))
     itself = sets.select(F.col("__id").alias("x"), F.col("__id").alias("pivot"), F.size("__set").alias("n"), F.size("__set").alias("b"))
-    around = settled(around.join(either.union(itself), ["x", "pivot"]))
+    around = _gathered(around.join(either.union(itself), ["x", "pivot"]), count)
     wanted = _ordered(_remaining(around, sets, percent)).join(known, ["x", "y"], "left_anti")
-    known = known.union(settled(_overlaps(wanted, sets)))
-    labels = components(known.filter(_enough(F.col("both"), percent)))
+    found = settled(_overlaps(wanted, sets))
+    if not found.filter(_enough(F.col("both"), percent)).isEmpty():
+        labels = components(known.union(found).filter(_enough(F.col("both"), percent)))
     ids = classes.select(F.col("__low").alias("l"), F.col("__high").alias("h"), "x")
-    by_class = settled(_labelled(ids, labels, "x").select("l", "h", F.col("component.id").alias("component")))
+    by_class = _gathered(_labelled(ids, labels, "x").select("l", "h", F.col("component.id").alias("component")), classes.count())
     named = base.filter("__n > 0").join(by_class, (F.col("__low") == F.col("l")) & (F.col("__high") == F.col("h")), "left")
     alone = base.filter("__n = 0").withColumn("component", F.col("__id"))
     columns = [
