@@ -6,6 +6,7 @@ from tidemark import session
 from tidemark.operators import match, scale, split
 from tidemark.operators.activity import quantile_stats
 from tidemark.plans.inputs import Inputs
+from tidemark.plans.runs import live_load, training_load
 from tidemark.sources import tables
 from tests.conftest import rows
 from tests.test_functions import plain_similarity
@@ -175,6 +176,14 @@ def test_tasks_are_sized_by_the_input(spark, tiny):
     assert session.shuffle_partitions(spark) == own and f", {own})" in grouped()
 
 
+def test_a_load_derives_its_accounts_once(spark, tiny):
+    """What follows the merge of a load reads the written accounts, not the tables they are derived from."""
+    for load in (training_load, live_load):
+        made = load(Inputs(session.tune(spark), tiny).bundle, "1996-01-01")
+        for table in (made.features, made.table):
+            assert not [f for f in table.inputFiles() if tiny in f]
+
+
 def test_low_thresholds_are_refused(spark):
     with pytest.raises(ValueError):
         match.name_keys("abc", 60.0, {})

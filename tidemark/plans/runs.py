@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from tidemark.operators.scale import settled
 class Load:
     """The tables of a load.
 
-    The merge is written once, as the step that all others read; they are lazy and each
-    asks only for the columns it needs.
+    The accounts and the merge are written once, as the steps that all others read; they
+    are lazy and each asks only for the columns it needs.
     """
 
     merged: DataFrame
@@ -30,8 +30,18 @@ class Load:
     features: DataFrame
 
 
+def with_settled_accounts(bundle: Bundle) -> Bundle:
+    """The bundle with its accounts written as a table.
+
+    A load meets them in many joins on the account, which share a stage: what the accounts
+    are derived from would be sorted and grouped again in each task for every one of them.
+    """
+    return replace(bundle, account=settled(bundle.account, "account"))
+
+
 def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
     """All accounts; weeks after a churn are guarded out; statics hold the time to churn."""
+    bundle = with_settled_accounts(bundle)
     merged = settled(merge_sources(bundle, since, metrics=STANDARD_METRICS), "merged")
     weekly = X.leak_guard(X.weekly_features(merged, since), bundle.account)
     static = X.static_features(merged, X.TRAIN_STATIC)
@@ -44,7 +54,7 @@ def training_load(bundle: Bundle, since: str = "2020-01-01") -> Load:
 
 def live_load(bundle: Bundle, since: str = "2020-01-01", as_of: str = "2020-01-01") -> Load:
     """Accounts that have not churned; time is measured up to ``as_of``; nothing is filled in."""
-    live = bundle.live()
+    live = with_settled_accounts(bundle).live()
     merged = settled(merge_sources(live, since, as_of=as_of, metrics=STANDARD_METRICS), "merged")
     weekly = X.weekly_features(merged, since)
     static = X.static_features(merged, X.LIVE_STATIC, fill_missing=False)
