@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -184,6 +186,20 @@ def test_a_load_derives_its_accounts_once(spark, tiny):
             assert not [f for f in table.inputFiles() if tiny in f]
 
 
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """What was shuffled for a step is gone once it is written; other queries keep theirs."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    df = spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    before = shuffled()
+    step = scale.settled(df)
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before and step.count() == 1000
+    assert len(df.collect()) == 1000 and shuffled() - before
+
+
 def test_low_thresholds_are_refused(spark):
     with pytest.raises(ValueError):
         match.name_keys("abc", 60.0, {})

@@ -104,6 +104,60 @@ def test_rows_per_renewal_carry_no_text_and_meet_once(spark, tiny):
     assert "line_items" not in few._jdf.queryExecution().executedPlan().toString()
 
 
+def odd_bundle(spark):
+    """A repeated account; unknown and missing keys and dates; repeated facts; weeks that cannot be read."""
+    other = dt.date(2020, 2, 3)
+    make = spark.createDataFrame
+    return merge.Bundle(
+        make([(1, 1, dt.date(2020, 3, 1)), (1, 1, dt.date(2020, 3, 1)), (2, 0, None)], "account_id long, churned_flag int, churn_date date"),
+        make([(1, MEETS, 5.0, 7), (1, MEETS, 5.0, 7), (1, MEETS, float("nan"), 8), (9, MEETS, 1.0, 9), (None, MEETS, 1.0, 9), (1, None, 1.0, 9)], "customer_no long, receipt_date date, functional_amount double, id long"),
+        make([(1, MEETS, 2.0), (1, other, 3.0)], "account_id long, invoice_date date, revline_total double"),
+        make([(2, other, 4.0)], "account_number long, trx_date date, amount_due double"),
+        make([(1, None, None, "O"), (1, None, DAY, "O"), (1, other, None, "O"), (None, DAY, None, "O")], "account_id long, line_start date, line_end date, line_status string"),
+        make([(1, dt.date(2019, 1, 1), DAY), (1, dt.date(2019, 5, 1), MEETS)], "bill_to long, coverage_start date, coverage_end date"),
+        make([(1, 0.5, "LOW"), (2, 0.25, None)], "account_number long, risk_score double, business_risk string"),
+        make(
+            [(1, 202002, MEETS, "b,a", None, 3, None), (1, 202002, MEETS, "c", None, 9, 4), (1, 202077, MEETS, "x", None, 1, 1), (1, 202088, MEETS, "y", None, 2, 2),
+             (2, 202010, MEETS, None, None, 6, 6), (9, 202002, MEETS, "z", None, 1, 1), (None, 202002, MEETS, "z", None, 1, 1), (2, 202011, DAY.replace(1990), "old", None, 1, 1)],
+            "account_id long, yyyywk int, contract_start date, line_items string, churn_date date, documents_opened long, contract_number long",
+        ),
+        make([(1, 202002)], "account_id long, yyyywk int"),
+    )
+
+
+MEETS = dt.date(2020, 1, 8)  # the Wednesday of 202002
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_merge_of_odd_rows(spark, written):
+    """Each day of a known account is one row; usage meets its day, usage of an unreadable week and lines without a day meet nothing."""
+    other, first = dt.date(2020, 2, 3), dt.date(2019, 1, 1)
+    got = merge.merge_sources(odd_bundle(spark), START, written=written)
+    assert not {"contract_number", "contract_end", "_dated"} & set(got.columns)
+    shown = ["account_id", "month", "functional_amount", "revline_total", "amount_due", "receipt_date", "line_start", "yyyywk", "usage_month", "line_items", "documents_opened", "coverage_start", "risk_score", "final_earliest_date"]
+    assert rows(got.select(*shown)) == sorted([
+        (1, MEETS, 5.0, 2.0, None, MEETS, None, 202002, MEETS, "a,b", 3, first, 0.5, first),
+        (1, other, None, 3.0, None, None, other, None, None, None, None, first, 0.5, first),
+        (1, None, None, None, None, None, None, None, None, None, None, first, 0.5, first),
+        (1, None, None, None, None, None, None, 202077, None, "x", 1, None, None, first),
+        (1, None, None, None, None, None, None, 202088, None, "y", 2, None, None, first),
+        (2, other, None, None, 4.0, None, None, None, None, None, None, None, 0.25, other),
+        (2, dt.date(2020, 3, 4), None, None, None, None, None, 202010, dt.date(2020, 3, 4), "", 6, None, None, other),
+    ], key=lambda t: [(v is not None, str(type(v)), v) for v in t])
+
+
+def test_stacked_sources_are_shuffled_once(spark, tiny):
+    """Between the cleaned usage and the merge lies one exchange."""
+    plan = merge.merge_sources(Inputs(spark, tiny).bundle, START, written=True)._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line and "line_items" in line)
+    above, least = [], depth[scan]
+    for i in range(scan, -1, -1):
+        if depth[i] < least:
+            above, least = [*above, plan[i]], depth[i]
+    assert sum("Exchange" in line for line in above) == 1
+
+
 def test_no_week_after_the_churn_week(spark):
     weekly = spark.createDataFrame([(1, 202001), (1, 202002), (1, 202003), (2, 202010), (3, 202010), (4, 202010)], "account_id long, yyyywk int")
     acc = spark.createDataFrame([(1, 1, dt.date(2020, 1, 8)), (2, 0, None), (3, None, None), (4, 1, None)], "account_id long, churned_flag int, churn_date date")
