@@ -9,6 +9,7 @@ from tidemark.operators import activity, churn, compare, features, merge, qualit
 from tidemark.operators import relational as R
 from tidemark.operators.activity import histogram, readiness, weekly_active, weekly_metric_stats
 from tidemark.plans.inputs import START, Inputs
+from tidemark.plans.runs import live_load, training_load
 from tidemark.sources import files, schemas, tables
 from tidemark.streaming import weekly
 from tests.conftest import rows
@@ -158,6 +159,19 @@ def test_stacked_sources_are_shuffled_once(spark, tiny):
     assert sum("Exchange" in line for line in above) == 1
 
 
+def test_a_load_writes_what_its_table_is_made_of(spark, tiny):
+    """A load of weekly tables writes no texts; its tables are those of the whole load."""
+    for load, names in ((training_load, ("weekly", "static")), (live_load, ("features", "table"))):
+        whole = load(Inputs(spark, tiny).bundle, START)
+        for name in names:
+            part = load(Inputs(spark, tiny).bundle, START, tables=[name])
+            assert ("line_items" in part.merged.columns) == (name in ("static", "table"))
+            a, b = getattr(whole, name), getattr(part, name)
+            summed = [F.round(c, 3).alias(c) if t == "double" else F.col(c) for c, t in a.dtypes]
+            a, b = a.select(*summed), b.select(*summed)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_no_week_after_the_churn_week(spark):
     weekly = spark.createDataFrame([(1, 202001), (1, 202002), (1, 202003), (2, 202010), (3, 202010), (4, 202010)], "account_id long, yyyywk int")
     acc = spark.createDataFrame([(1, 1, dt.date(2020, 1, 8)), (2, 0, None), (3, None, None), (4, 1, None)], "account_id long, churned_flag int, churn_date date")

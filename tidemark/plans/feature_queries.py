@@ -120,7 +120,7 @@ FEATURES = f"""SELECT {SHOW_WEEKLY}, churned_flag::BIGINT AS churned_flag, churn
     round(CASE WHEN churned_flag = 1 THEN date_diff('day', {monday_sql('yyyywk', 3)}, churn_date) ELSE 9999 END / 7.0::DOUBLE, 4) AS weeks_to_churn"""
 add(
     "feature_dataset", "PL6 J7 D17",
-    lambda t: weekly_shown(training_load(t.bundle, START).features).withColumn("weeks_to_churn", F.round("weeks_to_churn", 4)),
+    lambda t: weekly_shown(training_load(t.bundle, START, tables=["features"]).features).withColumn("weeks_to_churn", F.round("weeks_to_churn", 4)),
     f"WITH {MERGED}, {WEEKLY}, {GUARD} SELECT DISTINCT * FROM ({FEATURES} FROM guarded LEFT JOIN account USING (account_id))",
 )
 LIVE_MERGED = MERGED.replace("FROM payment GROUP BY ALL", "FROM payment SEMI JOIN live ON account_id = customer_no GROUP BY ALL").replace(
