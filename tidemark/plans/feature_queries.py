@@ -94,7 +94,7 @@ add(
     "account_money_rollup", "A7 T3",
     lambda t: rollup_shown(
         features.entity_rollup(
-            training_load(t.bundle, START).weekly, {k: ("sum",) for k in (*MONEY, "revline_total")}
+            training_load(t.bundle, START, tables=["weekly"]).weekly, {k: ("sum",) for k in (*MONEY, "revline_total")}
         ).select("account_id", *[F.round(f"{k}_sum", 2 if k != "revline_total" else 4).alias(f"{k}_sum") for k in (*MONEY, "revline_total")], "total_weeks")
     ),
     f"""WITH {MERGED}, {WEEKLY}, {GUARD} SELECT account_id, round(coalesce(sum(amount_due), 0), 2) AS amount_due_sum,
