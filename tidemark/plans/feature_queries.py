@@ -131,7 +131,7 @@ LIVE_MERGED = MERGED.replace("FROM payment GROUP BY ALL", "FROM payment SEMI JOI
 LIVE = f"live AS (SELECT account_id FROM account WHERE churned_flag = 0), {LIVE_MERGED}"
 add(
     "live_feature_dataset", "PL2 PL6 J7",
-    lambda t: weekly_shown(live_load(t.bundle, START, AS_OF).features),
+    lambda t: weekly_shown(live_load(t.bundle, START, AS_OF, tables=["features"]).features),
     f"""WITH {LIVE}, {WEEKLY} SELECT DISTINCT {SHOW_WEEKLY}, churned_flag::BIGINT AS churned_flag, segment, segment_level, final_earliest_date
         FROM feats LEFT JOIN account USING (account_id)
         LEFT JOIN (SELECT account_id, min(final_earliest_date) AS final_earliest_date FROM merged GROUP BY 1) USING (account_id)""",
