@@ -108,7 +108,7 @@ TRAINING = f"""WITH {MERGED}, {WEEKLY}, {GUARD}, st AS ({STATIC}), ro AS ({ROLLU
     FROM st FULL JOIN ro USING (account_id) LEFT JOIN meta USING (account_id)"""
 add(
     "training_table", "A9 J6 PL1",
-    lambda t: rollup_shown(training_load(t.bundle, START).table).select(
+    lambda t: rollup_shown(training_load(t.bundle, START, tables=["table"]).table).select(
         "account_id", F.round("risk_score", 4).alias("risk_score"), F.round("delinquency", 4).alias("delinquency"), "business_risk", "payment_rating", "line_items", F.round("lifespan_months", 4).alias("lifespan_months"),
         "documents_opened_sum", "documents_opened_mean", "storage_mb_sum", "storage_mb_max", "total_weeks", "usage_duration_weeks",
         "account_name", "churned_flag", "churn_date", "segment", "segment_level",
