@@ -145,7 +145,7 @@ add(
 )
 add(
     "live_rollup", "PL2 A7",
-    lambda t: rollup_shown(live_load(t.bundle, START, AS_OF).rollup).select(
+    lambda t: rollup_shown(live_load(t.bundle, START, AS_OF, tables=["rollup"]).rollup).select(
         "account_id", "documents_opened_sum", "documents_opened_mean", "storage_mb_max", "total_weeks", "yyyywk_min", "yyyywk_max"
     ),
     f"""WITH {LIVE}, {WEEKLY} SELECT account_id, coalesce(sum(documents_opened), 0)::BIGINT AS documents_opened_sum,
