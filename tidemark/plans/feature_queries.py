@@ -37,7 +37,7 @@ add(
 )
 add(
     "leak_guarded_weeks", "P9",
-    lambda t: weekly_shown(training_load(t.bundle, START).weekly),
+    lambda t: weekly_shown(training_load(t.bundle, START, tables=["weekly"]).weekly),
     f"WITH {MERGED}, {WEEKLY}, {GUARD} SELECT {SHOW_WEEKLY} FROM guarded",
 )
 STRIPPED = "array_to_string(list_sort(list_transform(string_split(regexp_replace({0}, '[0-9]+x ', '', 'g'), ','), lambda x: trim(x))), ',')"
