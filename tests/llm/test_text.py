@@ -228,6 +228,14 @@ def test_threshold_beside_wrong_labels():
     assert quality.threshold(good, good, quality.LOST) == 0
 
 
+def test_threshold_above_a_half():
+    """Where bad documents are mostly content too, the threshold still parts them from good ones; a share of one is no bound either."""
+    good, bad = np.linspace(0.8, 1, 500), np.linspace(0.55, 0.7, 500)
+    assert 0.69 < quality.threshold(good, bad, quality.LOST) <= 0.8
+    assert 0.99 < quality.threshold(np.ones(500), np.full(500, 0.99), quality.LOST) <= 1
+    assert quality.threshold(bad, good, quality.LOST) == 0
+
+
 def test_sample_is_of_usable_documents(spark):
     """Labels of documents that are absent or too long take no place in the sample."""
     text = lambda i: ("some words of a clean text. " if i % 2 else "# | # | %% MENU | ") * 4 + str(i)
